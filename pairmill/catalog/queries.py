@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from pairmill.catalog import derive
 from pairmill.config import PrepConfig
@@ -59,7 +60,7 @@ def sft_pairs(spark, sf_dir):
 def raw_jsonl_scan(spark, sf_dir):
     path = scratch_path(spark, "raw")
     derive.repeated_pairs(spark, sf_dir).select("instruction", "response", "repeat").write.json(path)
-    return raw.read_pairs(spark, path, extra=raw.T.StructType().add("repeat", "int"))
+    return raw.read_pairs(spark, path, extra=StructType([StructField("repeat", IntegerType())]))
 
 
 @query
@@ -72,9 +73,9 @@ def eval_roundtrip(spark, sf_dir):
 def _published(spark, sf_dir) -> str:
     root = scratch_path(spark, "data")
     raw_dir = f"{root}/raw"
-    derive.repeated_pairs(spark, sf_dir).select("instruction", "response", "repeat").write.option(
-        "extension", "jsonl"
-    ).json(raw_dir)
+    derive.repeated_pairs(spark, sf_dir).select("instruction", "response", "repeat").write.json(
+        raw_dir
+    )
     config = PrepConfig(raw_dir, f"{root}/tokenized", "first", "codepoints", MAX_LEN)
     prepare(spark, config)
     return config.tokenized_root
@@ -360,7 +361,7 @@ def stream_audit(spark, sf_dir):
 
 
 @query
-def live_stream_audit_run(spark, sf_dir):
+def live_stream_report(spark, sf_dir):
     """The same lines as a file stream, run to its end."""
     root = scratch_path(spark, "stream")
     lines = derive.stream_lines(spark, sf_dir)

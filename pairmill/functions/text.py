@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from pairmill.config import ChatTemplate
 
-# Fixed value: the characters Python's str.strip() removes, as a Java character class.
-BLANK = r"[\s\x1c-\x1f]"
+# The characters Python's str.strip() removes, and a Java pattern for any other one.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
 
 
@@ -18,7 +21,7 @@ def nonblank(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{BLANK}++|{BLANK}++\z", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def content_hash(instruction: Column, response: Column) -> Column:

@@ -6,17 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_json(text: Column) -> Column:
-    """The JSON value of the whole text, or null when the text is not exactly one value.
+def parse_guarded(text: Column) -> Column:
+    """The JSON value of the text as the first of two array elements.
 
-    The parser stops after the first value, so the text is read as the first of two array
-    elements: anything left over behind it moves or hides the second one.
+    The parser stops after the first value, so the text is read inside an array: anything left
+    over behind it moves or hides the second element, see ``is_complete``.
     """
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
-    complete = (F.try_variant_get(pair, "$[1]", "int") == 0) & F.try_variant_get(
-        pair, "$[2]", "variant"
-    ).isNull()
-    return F.when(complete, F.try_variant_get(pair, "$[0]", "variant"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
+
+
+def is_complete(guarded: Column) -> Column:
+    """Whether the text was exactly one JSON value."""
+    whole = (get(guarded, "$[1]", "int") == 0) & get(guarded, "$[2]").isNull()
+    return F.coalesce(whole, F.lit(False))
 
 
 def get(value: Column, path: str, kind: str = "variant") -> Column:
@@ -31,12 +33,6 @@ def is_kind(value: Column, kind: str) -> Column:
 def truthy(value: Column) -> Column:
     """Whether Python would treat the JSON value as true; an absent value is false."""
     text = get(value, "$", "string")
-    is_true = (
-        F.when(is_kind(value, "VOID"), False)
-        .when(is_kind(value, "STRING"), text != "")
-        .when(is_kind(value, "BOOLEAN"), text == "true")
-        .when(is_kind(value, "OBJECT"), F.schema_of_variant(value) != "OBJECT<>")
-        .when(is_kind(value, "ARRAY"), get(value, "$[0]").isNotNull())
-        .otherwise(get(value, "$", "double") != 0)
-    )
-    return F.coalesce(is_true, F.lit(False))
+    number = text.try_cast("double")
+    empty = text.isNull() | text.isin("false", "[]", "{}") | F.coalesce(number == 0, F.lit(False))
+    return F.when(is_kind(value, "STRING"), text != "").otherwise(~empty)

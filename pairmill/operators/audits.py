@@ -17,17 +17,20 @@ PREVIEW_CHARS = 120
 def response_audit(responses: DataFrame, body: str = "body") -> DataFrame:
     """Adds the first failing check of a completion body, its length and a preview."""
     keep = responses.columns
-    parsed = responses.withColumn("_value", V.parse_json(F.col(body)))
+    parsed = responses.withColumn("_json", V.parse_guarded(F.col(body)))
+    value = F.when(V.is_complete(F.col("_json")), V.get(F.col("_json"), "$[0]"))
+    first = "$[0].choices[0]"
     opened = parsed.select(
         *keep,
-        V.is_kind(F.col("_value"), "OBJECT").alias("_object"),
-        V.get(F.col("_value"), "$.error").isNotNull().alias("_error"),
-        V.get(F.col("_value"), "$.choices[0]").alias("_first"),
-        V.get(F.col("_value"), "$.choices[0].message.content").alias("_content"),
-        V.get(F.col("_value"), "$.choices[0].finish_reason").alias("_finish"),
+        V.is_kind(value, "OBJECT").alias("_object"),
+        V.get(F.col("_json"), "$[0].error").isNotNull().alias("_error"),
+        V.get(F.col("_json"), first).alias("_first"),
+        V.get(F.col("_json"), f"{first}.message.content").alias("_content"),
+        V.get(F.col("_json"), f"{first}.finish_reason").alias("_finish"),
     )
+    content = F.col("_content")
     texts = opened.withColumn(
-        "_text", F.when(V.is_kind(F.col("_content"), "STRING"), V.get(F.col("_content"), "$", "string"))
+        "_text", F.when(V.is_kind(content, "STRING"), V.get(content, "$", "string"))
     )
     reason = (
         F.when(~F.col("_object"), "unparseable")
@@ -80,18 +83,23 @@ def stream_previews(events: DataFrame) -> DataFrame:
     """The joined text's first characters, per request.
 
     Content lines are not empty, so the first 120 of them hold the first 120 characters; the rank
-    limit is applied before the shuffle as well as after it.
+    limit is applied before the shuffle as well as after it. Other lines rank last instead of
+    being filtered out: a filter would be pushed below the parsing and repeat all of it.
     """
-    first = Window.partitionBy("request_id").orderBy("seq")
+    content = F.col("kind") == E.CONTENT
+    first = Window.partitionBy("request_id").orderBy(~F.col("_content"), "seq")
     lines = (
-        events.where(F.col("kind") == E.CONTENT)
-        .select("request_id", "seq", F.substring("text", 1, PREVIEW_CHARS).alias("text"))
+        events.select(
+            "request_id", "seq", content.alias("_content"),
+            F.substring("text", 1, PREVIEW_CHARS).alias("text"),
+        )
         .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= PREVIEW_CHARS)
     )
-    in_order = F.array_sort(F.collect_list(F.struct("seq", "text")))["text"]
+    pieces = F.collect_list(F.when(F.col("_content"), F.struct("seq", "text")))
+    joined = F.array_join(F.array_sort(pieces)["text"], "")
     return lines.groupBy("request_id").agg(
-        preview_of(F.array_join(in_order, "")).alias("preview")
+        F.when(F.count_if("_content") > 0, preview_of(joined)).alias("preview")
     )
 
 

@@ -16,7 +16,7 @@ SUCCEEDED, FAILED, DEPLOY_FAILED = 1, 2, 3
 
 
 def _chunk(seconds: int) -> Column:
-    return F.expr(f"unix_micros(observed_at) div {seconds * 1_000_000}")
+    return F.expr(f"unix_micros(cast(observed_at as timestamp)) div {seconds * 1_000_000}")
 
 
 def _shown(status: str) -> Column:

@@ -57,8 +57,9 @@ def _truthy_text(name: str) -> Column:
     return F.when(V.truthy(value), text).alias(name)
 
 
-def has_input(spark: SparkSession, path: str, suffix: str = "jsonl") -> bool:
-    return files.any_match(spark, f"{path.rstrip('/')}/*.{suffix}")
+def has_input(spark: SparkSession, path: str, file_format: str = "json") -> bool:
+    """Whether a raw folder holds files of the format: .jsonl, .json or compressed, or .parquet."""
+    return files.any_match(spark, f"{path.rstrip('/')}/*.{file_format}*")
 
 
 def demo_pairs(spark: SparkSession) -> DataFrame:
@@ -69,7 +70,7 @@ def demo_pairs(spark: SparkSession) -> DataFrame:
 
 def seed_demo_data(spark: SparkSession, path: str) -> None:
     """Writes the demo pairs as JSON lines into a raw folder that has none."""
-    demo_pairs(spark).coalesce(1).write.mode("append").option("extension", "jsonl").json(path)
+    demo_pairs(spark).coalesce(1).write.mode("append").json(path)
 
 
 def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
