@@ -12,6 +12,7 @@ from pairmill.config import PrepConfig
 from pairmill.functions.text import codepoints, render_prompt
 from pairmill.functions.tokens import CodepointTokenizer, FileTokenizer
 from pairmill.operators import audits, capacity, curate, encode, gate, generate, status, training
+from pairmill.operators.spread import spread
 from pairmill.plans.handoff import write_batches
 from pairmill.plans.prepare import prepare, read_manifest
 from pairmill.session import scratch_path
@@ -188,14 +189,13 @@ def bpe_tokenizer(spark):
 
 def tokenize_bpe(spark, sf_dir):
     tokenizer = bpe_tokenizer(spark)
-    return derive.table(spark, sf_dir, "documents").select(
-        "doc_id", tokenizer.ids(F.col("text")).alias("ids")
-    )
+    texts = spread(derive.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return texts.select("doc_id", tokenizer.ids(F.col("text")).alias("ids"))
 
 
 def encode_sft_bpe(spark, sf_dir):
     return encode.encode_sft(
-        train_rows(spark, sf_dir), bpe_tokenizer(spark), 512, keep=("content_hash",)
+        spread(train_rows(spark, sf_dir)), bpe_tokenizer(spark), 512, keep=("content_hash",)
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -93,6 +94,8 @@ class FileTokenizer:
 
 
 def _load(definition: str):
+    # Tasks are the unit of parallelism; a task must not take the cores of others.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)

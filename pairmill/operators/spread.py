@@ -1,0 +1,20 @@
+"""Small inputs of expensive per-row work, spread over all cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out to as many tasks as there are cores, if they are too few to fill them.
+
+    Only an input whose estimated size is below one full partition per core is shuffled; a large
+    one already comes in enough partitions and stays as it is.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    full = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size < cores * full else rows

@@ -10,6 +10,7 @@ from pairmill.errors import JobFailed
 from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators.curate import collapse_pairs, holdout_size, split_holdout
 from pairmill.operators.encode import encode_sft
+from pairmill.operators.spread import spread
 from pairmill.session import scratch_path
 from pairmill.sinks import publish as sink
 from pairmill.sources import files, raw, versions
@@ -65,7 +66,7 @@ def _publish(spark, config, staged, tokenizer, template, lineage) -> str:
     train, held_out = split_holdout(deduped, config.eval_rows, config.eval_max_fraction, total)
     version = sink.claim_version(spark, config.tokenized_root, f"v-{config.run_id}")
     encoded = encode_sft(
-        train, tokenizer, config.max_len, config.min_answer_tokens, template,
+        spread(train), tokenizer, config.max_len, config.min_answer_tokens, template,
         keep=("content_hash",) if lineage else (),
     )
     sink.write_train(encoded, version)

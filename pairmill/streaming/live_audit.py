@@ -24,46 +24,33 @@ STATE = (
     "protocol_frames bigint, first_us bigint, last_us bigint, opened_us bigint, head string"
 )
 NEW = (None, None, None, False, 0, 0, 0, None, None, None, "[]")
-
-
-def _lower(a, b):
-    return b if a is None else a if b is None else min(a, b)
-
-
-def _higher(a, b):
-    return b if a is None else a if b is None else max(a, b)
-
-
-def _whole(value) -> int | None:
-    return None if pd.isna(value) else int(value)
+LINE = ("seq", "transfer_rc", "kind", "chunks", "chars", "arrived_us", "text")
+REPORT = [column.split()[0] for column in TOTALS.split(", ")]
 
 
 def _add(state: tuple, lines: pd.DataFrame) -> tuple:
     """The state after some more lines of the request, in whatever order they come."""
     rc, bad_seq, bad_kind, done, chunks, chars, frames, first, last, opened, head = state
-    content = lines[lines["kind"] == E.CONTENT]
-    bad = lines[lines["kind"].isin((E.UNPARSEABLE, E.ERROR))]
-    if len(bad):
-        earliest = bad.loc[bad["seq"].idxmin()]
-        if bad_seq is None or earliest["seq"] < bad_seq:
-            bad_seq, bad_kind = int(earliest["seq"]), int(earliest["kind"])
-    if len(content):
-        # Content is never empty, so this many pieces always hold the preview.
-        pieces = json.loads(head) + [[int(s), t] for s, t in zip(content["seq"], content["text"])]
-        head = json.dumps(sorted(pieces)[:PREVIEW_CHARS])
-    return (
-        _higher(rc, _whole(lines["transfer_rc"].max())),
-        bad_seq,
-        bad_kind,
-        done or bool((lines["kind"] == E.DONE).any()),
-        chunks + int(content["chunks"].sum()),
-        chars + int(content["chars"].sum()),
-        frames + int((lines["kind"] == E.PROTOCOL).sum()),
-        _lower(first, _whole(content["arrived_us"].min())),
-        _higher(last, _whole(content["arrived_us"].max())),
-        _lower(opened, _whole(lines["arrived_us"].min())),
-        head,
-    )
+    pieces = json.loads(head)
+    for seq, code, kind, pieces_in, size, at, text in zip(*(lines[c].tolist() for c in LINE)):
+        opened = at if opened is None else min(opened, at)
+        if code == code and code is not None:
+            rc = int(code) if rc is None else max(rc, int(code))
+        if kind == E.CONTENT:
+            chunks += pieces_in
+            chars += size
+            first = at if first is None else min(first, at)
+            last = at if last is None else max(last, at)
+            pieces.append([seq, text])
+        elif kind == E.DONE:
+            done = True
+        elif kind == E.PROTOCOL:
+            frames += 1
+        elif kind != E.IGNORED and (bad_seq is None or seq < bad_seq):
+            bad_seq, bad_kind = seq, kind
+    # Content is never empty, so this many pieces always hold the preview.
+    head = json.dumps(sorted(pieces)[:PREVIEW_CHARS])
+    return rc, bad_seq, bad_kind, done, chunks, chars, frames, first, last, opened, head
 
 
 def _follow(
@@ -73,29 +60,18 @@ def _follow(
     current = tuple(state.get) if state.exists else NEW
     for lines in batches:
         current = _add(current, lines)
-    closed = current[0] is not None
-    if not (closed or state.hasTimedOut):
-        deadline_ms = current[9] // 1000 + TRANSFER_LIMIT_S * 1000
+    rc, _, bad_kind, done, chunks, chars, frames, first, last, opened, head = current
+    if rc is None and not state.hasTimedOut:
+        deadline_ms = opened // 1000 + TRANSFER_LIMIT_S * 1000
         state.update(current)
         state.setTimeoutTimestamp(max(deadline_ms, state.getCurrentWatermarkMs() + 1))
         return
     if state.exists:
         state.remove()
-    rc, _, bad_kind, done, chunks, chars, frames, first, last, _, head = current
     text = "".join(piece for _, piece in json.loads(head)) if chunks else None
-    yield pd.DataFrame(
-        {
-            "request_id": [key[0]],
-            "transfer_rc": pd.array([rc], dtype="Int32"),
-            "bad_kind": pd.array([bad_kind], dtype="Int32"),
-            "done": [done],
-            "chunks": [chunks],
-            "chars": [chars],
-            "protocol_frames": [frames],
-            "span_us": pd.array([None if first is None else last - first], dtype="Int64"),
-            "head": [text],
-        }
-    )
+    span = None if first is None else last - first
+    row = (key[0], rc, bad_kind, done, chunks, chars, frames, span, text)
+    yield pd.DataFrame([row], columns=REPORT, dtype=object)
 
 
 def live_stream_audit(
