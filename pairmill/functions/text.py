@@ -35,5 +35,6 @@ def render_prompt(instruction: Column, template: ChatTemplate = ChatTemplate())
 
 def codepoints(text: Column) -> Column:
     """Unicode code points of the whole text as array<bigint>."""
-    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    # Splitting an empty text would give one empty character.
+    characters = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
     return F.transform(characters, lambda c: F.ascii(c).cast("bigint"))

@@ -23,6 +23,10 @@ class CodepointTokenizer:
     eos_id: int = 0x110000
     pad_id: int | None = None
 
+    def count(self, text: Column) -> Column:
+        """Number of tokens, without making them."""
+        return F.length(text)
+
     def ids(self, text: Column) -> Column:
         return codepoints(text)
 

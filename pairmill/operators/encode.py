@@ -24,9 +24,9 @@ def tokenize_pairs(
     return ids.select(*keep, "_ids.prompt_ids", "_ids.answer_ids")
 
 
-def has_budget(max_len: int, min_answer_tokens: int) -> Column:
+def has_budget(prompt_tokens: Column, max_len: int, min_answer_tokens: int) -> Column:
     """Whether the prompt leaves room for the shortest allowed answer and its end token."""
-    return F.lit(max_len) - F.size("prompt_ids") >= min_answer_tokens + 1
+    return F.lit(max_len) - prompt_tokens >= min_answer_tokens + 1
 
 
 def is_truncated(max_len: int) -> Column:
@@ -36,7 +36,7 @@ def is_truncated(max_len: int) -> Column:
 def overlength_split(tokens: DataFrame, max_len: int, min_answer_tokens: int) -> DataFrame:
     """Adds prompt and answer sizes and what the policy does with the row."""
     policy = (
-        F.when(~has_budget(max_len, min_answer_tokens), "rejected")
+        F.when(~has_budget(F.size("prompt_ids"), max_len, min_answer_tokens), "rejected")
         .when(is_truncated(max_len), "truncated")
         .otherwise("whole")
     )
@@ -49,21 +49,15 @@ def overlength_split(tokens: DataFrame, max_len: int, min_answer_tokens: int) ->
 
 
 def pad_tokens(
-    tokens: DataFrame,
-    eos_id: int,
-    pad_id: int | None,
-    max_len: int,
-    min_answer_tokens: int,
-    keep: tuple = (),
+    tokens: DataFrame, eos_id: int, pad_id: int | None, max_len: int, keep: tuple = ()
 ) -> DataFrame:
     """input_ids, attention_mask and labels, each of exactly ``max_len`` elements.
 
-    Prompts are never cut; answers are cut to what fits but always end in ``eos_id``; a row whose
-    prompt leaves too little room is dropped. Padding falls back to the end token. Labels are
-    ignored over prompt and padding.
+    Prompts are never cut and must leave room; answers are cut to what fits but always end in
+    ``eos_id``. Padding falls back to the end token. Labels are ignored over prompt and padding.
     """
     pad = eos_id if pad_id is None else pad_id
-    answered = tokens.where(has_budget(max_len, min_answer_tokens)).select(
+    answered = tokens.select(
         *keep,
         "prompt_ids",
         F.concat(
@@ -99,8 +93,17 @@ def encode_sft(
     template: ChatTemplate = ChatTemplate(),
     keep: tuple = (),
 ) -> DataFrame:
-    """Pairs to fixed-length training rows; ``keep`` names lineage columns to carry along."""
-    tokens = tokenize_pairs(pairs, tokenizer, template, keep)
-    return pad_tokens(
-        tokens, tokenizer.eos_id, tokenizer.pad_id, max_len, min_answer_tokens, keep
-    )
+    """Pairs to fixed-length training rows; ``keep`` names lineage columns to carry along.
+
+    A row whose prompt leaves too little room is dropped, before it is tokenized when the
+    tokenizer can count without tokenizing.
+    """
+    if hasattr(tokenizer, "count"):
+        prompt = render_prompt(F.col("instruction").cast("string"), template)
+        fitting = pairs.where(has_budget(tokenizer.count(prompt), max_len, min_answer_tokens))
+        tokens = tokenize_pairs(fitting, tokenizer, template, keep)
+    else:
+        tokens = tokenize_pairs(pairs, tokenizer, template, keep).where(
+            has_budget(F.size("prompt_ids"), max_len, min_answer_tokens)
+        )
+    return pad_tokens(tokens, tokenizer.eos_id, tokenizer.pad_id, max_len, keep)
