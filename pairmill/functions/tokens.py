@@ -12,6 +12,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.functions.text import codepoints
+from pairmill.session import ship_package
 
 TOKEN_PAIR = "prompt_ids array<bigint>, answer_ids array<bigint>"
 
@@ -52,6 +53,7 @@ class FileTokenizer:
             definition = file.read()
         if len(definition) > MAX_TOKENIZER_BYTES:
             raise ValueError(f"{path} is larger than {MAX_TOKENIZER_BYTES} bytes")
+        ship_package(spark)
         self._definition = spark.sparkContext.broadcast(definition)
         tokenizer = _load(definition)
         self.eos_id = tokenizer.token_to_id(eos_token)

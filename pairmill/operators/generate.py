@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from pairmill.config import ChatTemplate
 from pairmill.functions.text import render_prompt
+from pairmill.session import ship_package
 
 # Called once per Python worker; returns the function that answers a batch of prompts with
 # texts, or None where the model returned nothing.
@@ -57,6 +58,7 @@ def batch_generate(
     ``messages`` to the rows and may be swapped, which turns the job into data synthesis. The
     model call is marked non-deterministic, so no filter placed behind it runs it twice.
     """
+    ship_package(rows.sparkSession)
     if "response" not in rows.columns:
         rows = rows.withColumn("response", F.lit(""))
     asked = (preprocess or (lambda r: generation_requests(r, max_tokens)))(rows)

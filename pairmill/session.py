@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,3 +43,23 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="pairmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/pairmill/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers, once per application.
+
+    Spark itself carries the archive to every executor, also to those that join later.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="pairmill-"), "pairmill"), "zip",
+        os.path.dirname(home), os.path.basename(home),
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

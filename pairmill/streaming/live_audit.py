@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pairmill.config import MIN_STREAM_SPAN_US, TRANSFER_LIMIT_S
 from pairmill.functions import events as E
 from pairmill.operators.audits import PREVIEW_CHARS, REPORT_COLUMNS, preview_of, verdict
+from pairmill.session import ship_package
 
 TOTALS = (
     "request_id string, transfer_rc int, bad_kind int, done boolean, chunks bigint, "
@@ -85,6 +86,7 @@ def live_stream_audit(
     without a close row counts as a failed transfer. ``lateness`` is how much later than the
     newest line a line may come.
     """
+    ship_package(lines.sparkSession)
     events = E.classify_lines(lines.withWatermark("arrived_at", lateness))
     narrow = events.select(
         "request_id", "seq", "arrived_at", "transfer_rc", "kind",
