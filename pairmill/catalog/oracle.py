@@ -138,7 +138,7 @@ losses AS (
   FROM events),
 epochs AS (
   SELECT run_id, epoch,
-         CAST(sum(CAST(loss AS DECIMAL(28,9))) AS DOUBLE) / nullif(count(loss), 0) AS loss,
+         round(avg(loss), 9) AS loss,
          count(loss) AS steps, count(*) - count(loss) AS skipped_batches, count(loss) > 0 AS valid
   FROM losses GROUP BY ALL),
 checkpoints AS (

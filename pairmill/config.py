@@ -38,12 +38,19 @@ class _FromEnv:
         return cls(**{**values, **overrides})
 
 
+def _shared(path: str):
+    """Default place of a folder below the storage all nodes share."""
+    return field(
+        default_factory=lambda: f"{os.environ.get('SHARED_DIR', '/mnt/cluster_storage')}/{path}"
+    )
+
+
 # The default settings of the three jobs and of the acceptance checks.
 
 @dataclass(frozen=True)
 class PrepConfig(_FromEnv):
-    raw_dir: str = ""
-    tokenized_root: str = ""
+    raw_dir: str = _shared("data/raw")
+    tokenized_root: str = _shared("data/tokenized")
     run_id: str = field(default_factory=new_run_id)
     base_model: str = "Qwen/Qwen2.5-0.5B-Instruct"
     max_len: int = 1024
@@ -54,8 +61,8 @@ class PrepConfig(_FromEnv):
 
 @dataclass(frozen=True)
 class TrainConfig(_FromEnv):
-    tokenized_dir: str = ""
-    model_root: str = ""
+    tokenized_dir: str = _shared("data/tokenized")
+    model_root: str = _shared("models")
     run_id: str = field(default_factory=new_run_id)
     base_model: str = "Qwen/Qwen2.5-0.5B-Instruct"
     parallel_strategy: str = "ddp"
@@ -68,9 +75,9 @@ class TrainConfig(_FromEnv):
 
 @dataclass(frozen=True)
 class GenConfig(_FromEnv):
-    model_path: str = ""
-    eval_path: str = ""
-    output_root: str = ""
+    model_path: str = _shared("models")
+    eval_path: str = _shared("data/tokenized")
+    output_root: str = _shared("outputs/batch")
     run_id: str = field(default_factory=new_run_id)
     accept_sample: int = 0
     max_empty_fraction: float = 0.0

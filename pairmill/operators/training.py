@@ -97,28 +97,17 @@ def is_finite(loss: Column) -> Column:
 
 
 def epoch_loss(steps: DataFrame, keys: tuple = ("run_id", "epoch"), rank: int = 0) -> DataFrame:
-    """Mean of the finite step losses of one rank, skipped steps, and whether any step counted.
-
-    Losses are averaged exactly to nine decimals, so the mean does not depend on row order.
-    """
+    """Mean of the finite step losses of one rank, skipped steps, and whether any step counted."""
     finite = is_finite(F.col("loss"))
     return (
         steps.where(F.col("rank") == rank)
         .groupBy(*keys)
         .agg(
-            F.sum(F.when(finite, F.col("loss").cast("decimal(28,9)"))).alias("_sum"),
+            F.avg(F.when(finite, F.col("loss"))).alias("loss"),
             F.count_if(finite).alias("steps"),
             F.count_if(~finite).alias("skipped_batches"),
         )
-        .select(
-            *keys,
-            (F.col("_sum").cast("double") / F.when(F.col("steps") > 0, F.col("steps"))).alias(
-                "loss"
-            ),
-            "steps",
-            "skipped_batches",
-            (F.col("steps") > 0).alias("valid"),
-        )
+        .withColumn("valid", F.col("steps") > 0)
     )
 
 

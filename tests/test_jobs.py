@@ -7,6 +7,7 @@ from conftest import collected, table
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from pairmill import jobs
 from pairmill.config import GenConfig, PrepConfig, TrainConfig
 from pairmill.errors import JobFailed
 from pairmill.operators import gate, generate
@@ -261,3 +262,21 @@ def test_epoch_without_a_valid_step_fails(spark):
     assert (got["loss"], got["steps"], got["skipped_batches"]) == (1.5, 2, 2)
     with pytest.raises(JobFailed, match="no valid step"):
         handoff.checked_epoch_loss(table(spark, rows + [("r", 1, 0, nan), ("r", 1, 0, inf)], schema))
+
+
+def test_jobs_from_the_environment(spark, folder, monkeypatch, capsys):
+    monkeypatch.setenv("SHARED_DIR", folder)
+    monkeypatch.setenv("RUN_ID", "env")
+    monkeypatch.setenv("MAX_LEN", "200")
+    monkeypatch.setenv("EVAL_MAX_FRACTION", "0.5")
+    monkeypatch.setenv("BATCHES_DIR", f"{folder}/batches")
+    monkeypatch.setenv("GENERATOR", "pairmill.catalog.queries:echo_model")
+    monkeypatch.setenv("MAX_EMPTY_FRACTION", "1.0")
+    jobs.main("prepare")
+    version = f"{folder}/data/tokenized/v-env"
+    assert read_manifest(spark, version).first()["eval_rows"] == 4
+    jobs.main("batches")
+    assert spark.read.parquet(f"{folder}/batches").count() == 8
+    files.write_text(spark, f"{folder}/models/weights", "x")
+    jobs.main("infer")
+    assert capsys.readouterr().out.split() == [version, version, f"{folder}/outputs/batch/v-env"]
