@@ -268,7 +268,7 @@ SELECT (SELECT count(*) FROM deduped) AS deduped_rows, (SELECT count(*) FROM tra
        (SELECT count(*) FROM (SELECT content_hash FROM deduped EXCEPT
                               (SELECT content_hash FROM train UNION
                                SELECT content_hash FROM eval))) AS not_covered""",
-    "prompts": f"""WITH {PAIRS}
+    "render_prompt": f"""WITH {PAIRS}
 SELECT conv_id, turn, {PREFIX} || instruction || {SUFFIX} AS prompt FROM pairs""",
     "tokenize_codepoints": f"""
 SELECT conv_id, turn, array_to_string({codepoints('text')}, ',') AS ids FROM conversations""",

@@ -9,7 +9,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from pairmill.catalog import derive
 from pairmill.config import PrepConfig
-from pairmill.functions.text import codepoints, render_prompt
+from pairmill.functions import text
 from pairmill.functions.tokens import CodepointTokenizer, FileTokenizer
 from pairmill.operators import audits, capacity, curate, encode, gate, generate, status, training
 from pairmill.operators.spread import spread
@@ -146,16 +146,16 @@ def split_invariants(spark, sf_dir):
 
 
 @query
-def prompts(spark, sf_dir):
+def render_prompt(spark, sf_dir):
     return derive.pairs(spark, sf_dir).select(
-        "conv_id", "turn", render_prompt(F.col("instruction")).alias("prompt")
+        "conv_id", "turn", text.render_prompt(F.col("instruction")).alias("prompt")
     )
 
 
 @query
 def tokenize_codepoints(spark, sf_dir):
     return derive.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.array_join(codepoints(F.col("text")), ",").alias("ids")
+        "conv_id", "turn", F.array_join(text.codepoints(F.col("text")), ",").alias("ids")
     )
 
 
@@ -287,7 +287,7 @@ def acceptance_sample(spark, sf_dir):
 @query
 def context_budget(spark, sf_dir):
     asked = derive.table(spark, sf_dir, "documents").select(
-        "source", F.length(render_prompt(F.col("text"))).cast("bigint").alias("prompt_tokens")
+        "source", F.length(text.render_prompt(F.col("text"))).cast("bigint").alias("prompt_tokens")
     )
     return generate.context_budget(asked, 256, 2048, by=("source",))
 

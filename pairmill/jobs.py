@@ -10,6 +10,7 @@ laid out, and GENERATOR names the model loader as module:function.
 from __future__ import annotations
 
 import importlib
+import json
 import os
 import sys
 
@@ -18,8 +19,9 @@ if __package__ in (None, ""):
 
 from pairmill.config import GenConfig, PrepConfig, TrainConfig  # noqa: E402
 from pairmill.functions.tokens import FileTokenizer  # noqa: E402
+from pairmill.operators.gate import preview  # noqa: E402
 from pairmill.plans.handoff import write_batches  # noqa: E402
-from pairmill.plans.inference import check_context, run_inference  # noqa: E402
+from pairmill.plans.inference import check_context, read_generated, run_inference  # noqa: E402
 from pairmill.plans.prepare import prepare  # noqa: E402
 from pairmill.session import build_session  # noqa: E402
 
@@ -41,7 +43,10 @@ def run_infer(spark) -> str:
     make_predict = getattr(importlib.import_module(module), function)
     config = GenConfig.from_env()
     check_context(config, PrepConfig.from_env().max_len)
-    return run_inference(spark, config, make_predict)
+    output = run_inference(spark, config, make_predict)
+    for row in preview(read_generated(spark, output)).collect():
+        print(json.dumps(row.asDict(), ensure_ascii=False, indent=2), file=sys.stderr)
+    return output
 
 
 JOBS = {"prepare": run_prepare, "batches": run_batches, "infer": run_infer}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pairmill.session import input_bytes
+
 
 def spread(rows: DataFrame) -> DataFrame:
     """Rows dealt out to as many tasks as there are cores, if they are too few to fill them.
@@ -16,5 +18,5 @@ def spread(rows: DataFrame) -> DataFrame:
     full = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows.repartition(cores) if size < cores * full else rows
+    size = input_bytes(rows)
+    return rows.repartition(cores) if size is not None and size < cores * full else rows

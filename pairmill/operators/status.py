@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CHUNK_SECONDS = 3600
+CHUNK_SECONDS = 86_400
 SUCCEEDED, FAILED, DEPLOY_FAILED = 1, 2, 3
 
 

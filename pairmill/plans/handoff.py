@@ -13,6 +13,7 @@ from pairmill.operators.training import (
     epoch_loss,
     supervision_audit,
 )
+from pairmill.session import sized_shuffles
 from pairmill.sinks import publish as sink
 from pairmill.sources import versions
 
@@ -36,9 +37,10 @@ def write_batches(spark: SparkSession, config: TrainConfig, output: str) -> str:
         rows, epochs=config.epochs, num_workers=config.num_workers,
         batch_size=config.batch_size, seed=config.seed,
     )
-    plan.sortWithinPartitions("epoch", "shard", "batch", "pos").write.mode(
-        "errorifexists"
-    ).partitionBy("epoch", "shard").parquet(output)
+    laid_out = plan.sortWithinPartitions("epoch", "shard", "batch", "pos")
+    # Padding compresses well at rest but travels in full.
+    with sized_shuffles(rows, growth=8.0 * config.epochs):
+        laid_out.write.mode("errorifexists").partitionBy("epoch", "shard").parquet(output)
     return version
 
 

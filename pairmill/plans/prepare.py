@@ -11,7 +11,7 @@ from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators.curate import collapse_pairs, holdout_size, split_holdout
 from pairmill.operators.encode import encode_sft
 from pairmill.operators.spread import spread
-from pairmill.session import scratch_path
+from pairmill.session import scratch_path, sized_shuffles
 from pairmill.sinks import publish as sink
 from pairmill.sources import files, raw, versions
 
@@ -46,7 +46,8 @@ def prepare(
         pairs = raw.read_pairs(spark, config.raw_dir)
 
     staged = scratch_path(spark, f"prepare-{config.run_id}")
-    collapse_pairs(pairs).write.parquet(staged)
+    with sized_shuffles(pairs):
+        collapse_pairs(pairs).write.parquet(staged)
     try:
         return _publish(spark, config, staged, tokenizer or CodepointTokenizer(), template, lineage)
     finally:

@@ -6,8 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,6 +31,9 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+_local_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder the cluster names for checkpoints.
 
@@ -40,18 +44,57 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="pairmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _local_scratch:
+            _local_scratch.append(tempfile.mkdtemp(prefix="pairmill-"))
+        root = _local_scratch[0]
     return f"{root.rstrip('/')}/pairmill/{purpose}-{uuid.uuid4().hex}"
 
 
+def input_bytes(rows: DataFrame) -> int | None:
+    """Estimated size of all tables a DataFrame reads; None when some input has no estimate."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(size >= 1 << 62 for size in sizes) else sum(sizes)
+
+
+# What one task of a shuffle should get, and the most partitions worth their bookkeeping.
+SHUFFLE_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(rows: DataFrame, growth: float = 1.0):
+    """While open, shuffles start with enough partitions for the input times ``growth``.
+
+    Adaptive execution merges partitions that turn out small but cannot split what a fixed
+    number of them made too large.
+    """
+    spark = rows.sparkSession
+    size = input_bytes(rows)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, int((size or 0) * growth) // SHUFFLE_BYTES)
+    if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, wanted)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Makes this package importable in the Python workers, once per application.
 
-    Spark itself carries the archive to every executor, also to those that join later.
+    The driver packs it; Spark itself carries the archive to every executor, also to those that
+    join later.
     """
     context = spark.sparkContext
     if context.applicationId in _shipped:
