@@ -111,4 +111,4 @@ def _load(definition: str):
 
 
 def _encode(tokenizer, texts) -> list[list[int]]:
-    return [e.ids for e in tokenizer.encode_batch(list(texts), add_special_tokens=False)]
+    return [e.ids for e in tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]

@@ -15,8 +15,13 @@ CHUNK_SECONDS = 86_400
 SUCCEEDED, FAILED, DEPLOY_FAILED = 1, 2, 3
 
 
-def _chunk(seconds: int) -> Column:
-    return F.expr(f"unix_micros(cast(observed_at as timestamp)) div {seconds * 1_000_000}")
+def _chunk(observations: DataFrame, seconds: int) -> Column:
+    """Number of the time chunk; never decreases with time, whatever the session's time zone."""
+    if dict(observations.dtypes)["observed_at"] == "timestamp_ntz":
+        micros = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', observed_at)"
+    else:
+        micros = "unix_micros(observed_at)"
+    return F.expr(f"{micros} div {seconds * 1_000_000}")
 
 
 def _shown(status: str) -> Column:
@@ -28,7 +33,7 @@ def status_changes(observations: DataFrame, chunk_seconds: int = CHUNK_SECONDS)
     states = observations.select(
         "job", "observed_at", "seq",
         F.concat_ws("/", _shown("deploy_status"), _shown("job_status")).alias("state"),
-        _chunk(chunk_seconds).alias("_chunk"),
+        _chunk(observations, chunk_seconds).alias("_chunk"),
     )
     inside = Window.partitionBy("job", "_chunk").orderBy("observed_at", "seq")
     last = F.max_by("state", F.struct("observed_at", "seq"))
@@ -68,7 +73,7 @@ def job_outcome(
         .when(deploy == "Failed", DEPLOY_FAILED)
     )
     rows = observations.select(
-        "job", "observed_at", "seq", code.alias("code"), _chunk(chunk_seconds).alias("_chunk")
+        "job", "observed_at", "seq", code.alias("code"), _chunk(observations, chunk_seconds).alias("_chunk")
     )
     inside = Window.partitionBy("job", "_chunk").orderBy("observed_at", "seq")
     terminal = F.when(F.col("code").isNotNull(), F.struct("observed_at", "seq", "code", "_before"))

@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Texts can be long, so Arrow batches are kept short.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # Open requests of a stream live on local disk with their changes logged, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # A JSON object naming a key twice is accepted and the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
