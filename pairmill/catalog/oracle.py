@@ -316,14 +316,14 @@ FROM documents GROUP BY source""",
     "batch_steps": f"""WITH {DEDUPED}, {batches(3, 4, 'deduped')}
 SELECT epoch, shard, count(*) AS rows, max(batch) + 1 AS steps FROM plan GROUP BY epoch, shard""",
     "batch_layout": f"""WITH {encoded(256, PREPARED)}, {batches(2, 4, 'encoded')}
-SELECT epoch, shard, batch, count(*) AS rows,
+SELECT epoch, CAST(shard AS INTEGER) AS shard, batch, count(*) AS rows,
        CAST(sum(n_supervised) AS BIGINT) AS supervised_tokens,
        min(n_supervised) AS min_supervised, max(n_supervised) AS max_supervised,
        count(*) FILTER (WHERE n_supervised = 0) AS unsupervised_rows
 FROM plan JOIN encoded USING (content_hash) GROUP BY epoch, shard, batch""",
     "epoch_loss": f"WITH {LOSSES} SELECT * FROM epochs",
     "checkpoint_topk": f"""WITH {LOSSES}
-SELECT run_id, epoch, checkpoint, place
+SELECT run_id, epoch, checkpoint, CAST(place AS INTEGER) AS place
 FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY loss, epoch) AS place
       FROM checkpoints WHERE loss IS NOT NULL)
 WHERE place <= 2""",

@@ -77,7 +77,9 @@ def _published(spark, sf_dir) -> str:
     derive.repeated_pairs(spark, sf_dir).select("instruction", "response", "repeat").write.json(
         raw_dir
     )
-    config = PrepConfig(raw_dir, f"{root}/tokenized", "first", "codepoints", MAX_LEN)
+    config = PrepConfig(
+        raw_dir, "json", f"{root}/tokenized", "first", "codepoints", MAX_LEN
+    )
     prepare(spark, config)
     return config.tokenized_root
 
@@ -217,7 +219,7 @@ def supervision_audit(spark, sf_dir):
 # Generation and its gate.
 
 
-def echo_model():
+def echo_model(model_version: str = "", sampling: dict | None = None):
     """A stand-in for a model: answers with the prompt, and at times not at all or blankly."""
 
     def predict(prompts: np.ndarray) -> np.ndarray:

@@ -50,6 +50,7 @@ def _shared(path: str):
 @dataclass(frozen=True)
 class PrepConfig(_FromEnv):
     raw_dir: str = _shared("data/raw")
+    raw_format: str = "json"
     tokenized_root: str = _shared("data/tokenized")
     run_id: str = field(default_factory=new_run_id)
     base_model: str = "Qwen/Qwen2.5-0.5B-Instruct"

@@ -40,10 +40,10 @@ def run_batches(spark) -> str:
 
 def run_infer(spark) -> str:
     module, function = os.environ["GENERATOR"].split(":")
-    make_predict = getattr(importlib.import_module(module), function)
+    load_model = getattr(importlib.import_module(module), function)
     config = GenConfig.from_env()
     check_context(config, PrepConfig.from_env().max_len)
-    output = run_inference(spark, config, make_predict)
+    output = run_inference(spark, config, load_model)
     for row in preview(read_generated(spark, output)).collect():
         print(json.dumps(row.asDict(), ensure_ascii=False, indent=2), file=sys.stderr)
     return output

@@ -18,6 +18,9 @@ from pairmill.session import ship_package
 # texts, or None where the model returned nothing.
 MakePredict = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
+# Greedy decoding, the pipeline rather than the engine turning ids into text.
+SAMPLING = {"temperature": 0.0, "max_tokens": 256, "detokenize": False}
+
 
 def user_message(instruction: Column) -> Column:
     return F.array(
@@ -27,11 +30,8 @@ def user_message(instruction: Column) -> Column:
 
 def generation_requests(rows: DataFrame, max_tokens: int = 256) -> DataFrame:
     """Adds ``messages`` and ``sampling_params`` for greedy decoding."""
-    parameters = F.struct(
-        F.lit(0.0).alias("temperature"),
-        F.lit(max_tokens).alias("max_tokens"),
-        F.lit(False).alias("detokenize"),
-    )
+    values = {**SAMPLING, "max_tokens": max_tokens}
+    parameters = F.struct(*[F.lit(value).alias(name) for name, value in values.items()])
     return rows.withColumn("messages", user_message(F.col("instruction"))).withColumn(
         "sampling_params", parameters
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pairmill.config import ChatTemplate, GenConfig
 from pairmill.errors import JobFailed
 from pairmill.operators.gate import acceptance_report
-from pairmill.operators.generate import MakePredict, batch_generate
+from pairmill.operators.generate import SAMPLING, batch_generate
 from pairmill.sinks import publish as sink
 from pairmill.sources import versions
 
@@ -30,18 +33,20 @@ def check_context(config: GenConfig, max_len: int) -> None:
 def run_inference(
     spark: SparkSession,
     config: GenConfig,
-    make_predict: MakePredict,
+    load_model: Callable,
     template: ChatTemplate = ChatTemplate(),
     preprocess=None,
 ) -> str:
     """Generates over the holdout, writes the rows, then judges what was written.
 
-    Both inputs are resolved to immutable versions first. ``make_predict`` loads whatever model
-    the caller serves from the resolved model version.
+    Both inputs are resolved to immutable versions first. ``load_model(version, sampling)`` runs
+    once per Python worker and returns the function that answers a batch of prompts.
     """
     model, holdout = versions.resolve_generation_inputs(
         spark, config.model_path, config.eval_path
     )
+    sampling = {**SAMPLING, "max_tokens": config.max_tokens}
+    make_predict = partial(load_model, model, sampling)
     generated = batch_generate(
         versions.read_eval(spark, holdout), make_predict, config.batch_size, config.concurrency,
         config.max_tokens, template, preprocess,

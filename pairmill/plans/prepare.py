@@ -41,9 +41,9 @@ def prepare(
     if files.exists(spark, f"{config.tokenized_root}/v-{config.run_id}"):
         raise JobFailed(f"version v-{config.run_id} already exists; choose another run id")
     if pairs is None:
-        if not raw.has_input(spark, config.raw_dir):
-            raw.seed_demo_data(spark, config.raw_dir)
-        pairs = raw.read_pairs(spark, config.raw_dir)
+        if not raw.has_input(spark, config.raw_dir, config.raw_format):
+            raw.seed_demo_data(spark, config.raw_dir, config.raw_format)
+        pairs = raw.read_pairs(spark, config.raw_dir, config.raw_format)
 
     staged = scratch_path(spark, f"prepare-{config.run_id}")
     with sized_shuffles(pairs):

@@ -68,9 +68,9 @@ def demo_pairs(spark: SparkSession) -> DataFrame:
     return pairs.select("instruction", "response", repeats)
 
 
-def seed_demo_data(spark: SparkSession, path: str) -> None:
-    """Writes the demo pairs as JSON lines into a raw folder that has none."""
-    demo_pairs(spark).coalesce(1).write.mode("append").json(path)
+def seed_demo_data(spark: SparkSession, path: str, file_format: str = "json") -> None:
+    """Writes the demo pairs into a raw folder that has no file of the format."""
+    demo_pairs(spark).coalesce(1).write.mode("append").format(file_format).save(path)
 
 
 def pairs_from_conversations(conversations: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ PAIRS = "instruction string, response string"
 
 
 def config(folder, run="one", **more):
-    return PrepConfig(f"{folder}/raw", f"{folder}/data", run, "base", max_len=300, **more)
+    return PrepConfig(f"{folder}/raw", "json", f"{folder}/data", run, "base", max_len=300, **more)
 
 
 def some_pairs(spark, n=40):
@@ -31,20 +31,16 @@ def some_pairs(spark, n=40):
     return table(spark, rows + rows[:10] + [(" ", "x"), (None, "y")], PAIRS)
 
 
-def good_model():
+def good_model(version="", sampling=None):
     return lambda prompts: np.array([f"re: {p}" for p in prompts], dtype=object)
 
 
-def bad_model():
-    """One answer in ten is missing."""
-    return lambda prompts: np.array(
-        [None if "question 1" in p and "question 1<" in p else f"re: {p}" for p in prompts],
-        dtype=object,
-    )
+def silent_model(version, sampling):
+    return lambda prompts: np.array([None] * len(prompts), dtype=object)
 
 
-def silent_model():
-    return lambda prompts: np.array([None] * len(prompts), dtype=object)
+def telling_model(version, sampling):
+    return lambda prompts: np.array([json.dumps([version, sampling])] * len(prompts), dtype=object)
 
 
 def test_demo_run_without_any_data(spark, folder):
@@ -82,7 +78,7 @@ def test_guards_of_preparation(spark, folder):
         prepare(spark, config(folder, "single"), some_pairs(spark, 1))
     with pytest.raises(JobFailed, match="no training rows"):
         prepare(spark, config(folder, "none"), table(spark, [(" ", "a")], PAIRS))
-    tight = PrepConfig("", f"{folder}/data", "tight", max_len=20)
+    tight = PrepConfig("", "json", f"{folder}/data", "tight", max_len=20)
     with pytest.raises(JobFailed, match="too long"):
         prepare(spark, tight, some_pairs(spark))
     # None of the failures moved the pointer.
@@ -139,9 +135,10 @@ def test_a_malformed_line_fails_the_job(spark, folder):
 
 
 def test_parquet_pairs(spark, folder):
-    some_pairs(spark).write.parquet(folder)
-    assert raw.has_input(spark, folder, "parquet")
-    assert raw.read_pairs(spark, folder, "parquet").count() == 52
+    some_pairs(spark).write.parquet(f"{folder}/raw")
+    assert raw.has_input(spark, f"{folder}/raw", "parquet")
+    settings = PrepConfig(f"{folder}/raw", "parquet", f"{folder}/data", "p", max_len=300)
+    assert read_manifest(spark, prepare(spark, settings)).first()["raw_rows"] == 52
 
 
 def test_inference_gate_writes_its_report_before_failing(spark, folder):
@@ -156,6 +153,10 @@ def test_inference_gate_writes_its_report_before_failing(spark, folder):
     report = spark.read.schema(inference.REPORT).json(f"{output}/acceptance").first()
     assert (report["rows_total"], report["rows_checked"], report["rows_unusable"]) == (10, 10, 0)
     assert report["passed"] and report["eval_version"].endswith("/v-one")
+    told = inference.read_generated(spark, run("telling", telling_model, max_tokens=9)).first()
+    assert json.loads(told["generated"]) == [
+        f"{folder}/model", {"temperature": 0.0, "max_tokens": 9, "detokenize": False},
+    ]
     sampled = run("sampled", good_model, accept_sample=4, concurrency=2)
     report = spark.read.schema(inference.REPORT).json(f"{sampled}/acceptance").first()
     assert (report["rows_total"], report["rows_checked"]) == (10, 4)
