@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairmill.operators.spread import spread
 from pairmill.sources.raw import pairs_from_conversations
 
 # Fixed value: a text of characters that all count as blank.
@@ -78,7 +79,7 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     content, 5 a broken payload midway, 6 a failed transfer.
     """
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    numbered = turns.select(
+    numbered = spread(turns).select(
         "conv_id", "turn", "text",
         (F.col("conv_id") % 7).alias("fault"),
         F.ceil(F.length("text") / PIECE_CHARS).alias("n"),

@@ -156,7 +156,7 @@ def render_prompt(spark, sf_dir):
 
 @query
 def tokenize_codepoints(spark, sf_dir):
-    return derive.table(spark, sf_dir, "conversations").select(
+    return spread(derive.table(spark, sf_dir, "conversations")).select(
         "conv_id", "turn", F.array_join(text.codepoints(F.col("text")), ",").alias("ids")
     )
 

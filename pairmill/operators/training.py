@@ -9,7 +9,17 @@ from pyspark.sql.window import Window
 from pairmill.config import IGNORED_LABEL
 
 # The offsets of all buckets of all epochs are broadcast; this bounds their number.
-MAX_BUCKETS = 1 << 20
+MAX_BUCKETS = 1 << 21
+# Rows a bucket, which one task sorts, should not exceed while the bound above allows.
+BUCKET_ROWS = 100_000
+
+
+def bucket_digits_for(rows: int, epochs: int) -> int:
+    """How many digest digits make buckets small enough for this many rows."""
+    digits = 1
+    while rows / 16**digits > BUCKET_ROWS and epochs * 16 ** (digits + 1) <= MAX_BUCKETS:
+        digits += 1
+    return digits
 
 
 def batch_plan(

@@ -9,6 +9,7 @@ from pairmill.config import TrainConfig
 from pairmill.errors import JobFailed
 from pairmill.operators.training import (
     batch_plan,
+    bucket_digits_for,
     checkpoint_select,
     epoch_loss,
     supervision_audit,
@@ -31,11 +32,13 @@ def write_batches(spark: SparkSession, config: TrainConfig, output: str) -> str:
     """
     version = versions.resolve_data(spark, config.tokenized_dir)
     rows = versions.read_train(spark, version)
-    if supervision_audit(rows).first()["unsupervised_rows"]:
+    audit = supervision_audit(rows).first()
+    if audit["unsupervised_rows"]:
         raise JobFailed(f"{version} holds rows without a supervised token")
     plan = batch_plan(
         rows, epochs=config.epochs, num_workers=config.num_workers,
         batch_size=config.batch_size, seed=config.seed,
+        bucket_digits=bucket_digits_for(audit["rows"], config.epochs),
     )
     laid_out = plan.sortWithinPartitions("epoch", "shard", "batch", "pos")
     # Padding compresses well at rest but travels in full.

@@ -61,9 +61,10 @@ def input_bytes(rows: DataFrame) -> int | None:
     return None if any(size >= 1 << 62 for size in sizes) else sum(sizes)
 
 
-# What one task of a shuffle should get, and the most partitions worth their bookkeeping.
+# What one task of a shuffle should get, and the most partitions worth their bookkeeping: the
+# driver tracks every map task's output for each of them.
 SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
+MAX_SHUFFLE_PARTITIONS = 30_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 

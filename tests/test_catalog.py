@@ -19,6 +19,8 @@ def test_matches_sql(spark, name):
     frame = entry.queries()[name](spark, SF)
     got = normal(frame.collect(), frame.columns)
     assert got
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in entry.oracle_sql():
         relation = connect(SF).sql(entry.oracle_sql()[name])
         assert sorted(frame.columns) == sorted(relation.columns)

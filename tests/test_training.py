@@ -34,6 +34,9 @@ def test_bucket_bound(spark):
     rows = table(spark, [("a",)], "content_hash string")
     with pytest.raises(ValueError):
         training.batch_plan(rows, epochs=300, bucket_digits=4)
+    sizes = [1, 10**6, 10**9, 10**11, 10**13]
+    assert [training.bucket_digits_for(n, 2) for n in sizes] == [1, 1, 4, 5, 5]
+    assert training.bucket_digits_for(10**13, 300) == 3
 
 
 def test_supervision(spark):
