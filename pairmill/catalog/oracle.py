@@ -235,6 +235,10 @@ ORACLE = {
     "raw_jsonl_scan": f"""WITH {GAPPY}
 SELECT instruction, response, CAST(repeat AS INTEGER) AS repeat
 FROM gappy, range(3) AS repeats(repeat)""",
+    "raw_strict_scan": f"""WITH {PAIRS}
+SELECT CASE conv_id % 4 WHEN 1 THEN nullif(CAST(turn AS VARCHAR), '0') WHEN 2 THEN NULL
+                        ELSE instruction END AS instruction, response
+FROM pairs""",
     "eval_roundtrip": f"WITH {split()} SELECT instruction, response FROM eval",
     "prep_manifest": f"""WITH {encoded(256, PREPARED)}
 SELECT 'first' AS run_id, 'codepoints' AS base_model,

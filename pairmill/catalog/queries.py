@@ -64,6 +64,21 @@ def raw_jsonl_scan(spark, sf_dir):
     return raw.read_pairs(spark, path, extra=StructType([StructField("repeat", IntegerType())]))
 
 
+@query
+def raw_strict_scan(spark, sf_dir):
+    """Pairs whose instruction is at times a number or false, told apart by their JSON type."""
+    pairs = derive.pairs(spark, sf_dir)
+    kind, response = F.col("conv_id") % 4, F.col("response")
+    lines = (
+        F.when(kind == 1, F.to_json(F.struct(F.col("turn").alias("instruction"), response)))
+        .when(kind == 2, F.to_json(F.struct(F.lit(False).alias("instruction"), response)))
+        .otherwise(F.to_json(F.struct("instruction", response)))
+    )
+    path = scratch_path(spark, "raw")
+    pairs.select(lines.alias("value")).write.text(path)
+    return raw.read_pairs(spark, path, strict=True)
+
+
 @query
 def eval_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "holdout")
@@ -186,7 +201,7 @@ def encode_sft_512(spark, sf_dir):
 def bpe_tokenizer(spark):
     from public_tokenizers import path
 
-    return FileTokenizer(spark, path("byte_bpe_50k.json"), "<|endoftext|>")
+    return FileTokenizer(spark, f"file://{path('byte_bpe_50k.json')}", "<|endoftext|>")
 
 
 def tokenize_bpe(spark, sf_dir):

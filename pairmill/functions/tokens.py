@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pairmill.functions.text import codepoints
 from pairmill.session import ship_package
+from pairmill.sources import files
 
 TOKEN_PAIR = "prompt_ids array<bigint>, answer_ids array<bigint>"
 
@@ -49,8 +50,7 @@ class FileTokenizer:
     def __init__(
         self, spark: SparkSession, path: str, eos_token: str, pad_token: str | None = None
     ):
-        with open(path, encoding="utf-8") as file:
-            definition = file.read()
+        definition = files.read_text(spark, path)
         if len(definition) > MAX_TOKENIZER_BYTES:
             raise ValueError(f"{path} is larger than {MAX_TOKENIZER_BYTES} bytes")
         ship_package(spark)

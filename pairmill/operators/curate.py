@@ -46,8 +46,9 @@ def collapse_pairs(raw: DataFrame) -> DataFrame:
     ``copies`` then adds up to the number of raw rows, so the manifest needs no second pass over
     the raw data.
     """
+    texts = raw.select(*[F.col(c).cast("string").alias(c) for c in ("instruction", "response")])
     usable = nonblank(F.col("instruction")) & nonblank(F.col("response"))
-    pairs = raw.select(usable.alias("_usable"), "instruction", "response")
+    pairs = texts.withColumn("_usable", usable)
     keyed = pairs.select(
         F.when(F.col("_usable"), content_hash(F.col("instruction"), F.col("response"))).alias(
             "content_hash"
