@@ -10,8 +10,8 @@ from pairmill.session import input_bytes
 def spread(rows: DataFrame) -> DataFrame:
     """Rows dealt out to as many tasks as there are cores, if they are too few to fill them.
 
-    Only an input whose estimated size is below one full partition per core is shuffled; a large
-    one already comes in enough partitions and stays as it is.
+    Only an input of fewer files than cores, and of less than one full partition per core by its
+    estimated size, is shuffled; a large one already comes in enough partitions.
     """
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
@@ -19,4 +19,6 @@ def spread(rows: DataFrame) -> DataFrame:
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
     size = input_bytes(rows)
-    return rows.repartition(cores) if size is not None and size < cores * full else rows
+    if size is None or size >= cores * full or len(rows.inputFiles()) >= cores:
+        return rows
+    return rows.repartition(cores)

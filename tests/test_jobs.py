@@ -23,7 +23,7 @@ PAIRS = "instruction string, response string"
 
 
 def config(folder, run="one", **more):
-    return PrepConfig(f"{folder}/raw", "json", f"{folder}/data", run, "base", max_len=300, **more)
+    return PrepConfig(f"{folder}/raw", f"{folder}/data", run, "base", max_len=300, **more)
 
 
 def some_pairs(spark, n=40):
@@ -78,7 +78,7 @@ def test_guards_of_preparation(spark, folder):
         prepare(spark, config(folder, "single"), some_pairs(spark, 1))
     with pytest.raises(JobFailed, match="no training rows"):
         prepare(spark, config(folder, "none"), table(spark, [(" ", "a")], PAIRS))
-    tight = PrepConfig("", "json", f"{folder}/data", "tight", max_len=20)
+    tight = PrepConfig("", f"{folder}/data", "tight", max_len=20)
     with pytest.raises(JobFailed, match="too long"):
         prepare(spark, tight, some_pairs(spark))
     # None of the failures moved the pointer.
@@ -137,7 +137,7 @@ def test_a_malformed_line_fails_the_job(spark, folder):
 def test_parquet_pairs(spark, folder):
     some_pairs(spark).write.parquet(f"{folder}/raw")
     assert raw.has_input(spark, f"{folder}/raw", "parquet")
-    settings = PrepConfig(f"{folder}/raw", "parquet", f"{folder}/data", "p", max_len=300)
+    settings = config(folder, "p", raw_format="parquet")
     assert read_manifest(spark, prepare(spark, settings)).first()["raw_rows"] == 52
 
 

@@ -54,3 +54,7 @@ def test_only_a_small_input_is_spread(spark, folder):
         assert spread(rows) is rows
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    many = f"{folder}-many"
+    spark.range(100).repartition(8).write.parquet(many)
+    rows = spark.read.parquet(many)
+    assert spread(rows) is rows
