@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from pairmill.llm.chat import format_conversations, format_digest, text_parts
 from pairmill.llm.packing import best_fit_packing
+from pairmill.llm.quality import quality_scores
 from pairmill.llm.repetition import repetition_quality
 from pairmill.llm.token_counts import token_counts
+from pairmill.llm.toxicity import toxicity_scores
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -76,6 +78,16 @@ def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@query
+def op6_quality_classifier(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_toxicity_classifier(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_path())

@@ -57,12 +57,21 @@ class Powers:
 BYTE_POWERS, WORD_POWERS = Powers(BYTE_STEP), Powers(WORD_STEP)
 
 
-def span_hashes(values: np.ndarray, starts, ends, powers: Powers) -> np.ndarray:
+class Spans:
     """Polynomial hashes of values[start:end]; equal spans have equal hashes wherever they stand."""
-    up, down = powers.upto(len(values) + 1)
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def __init__(self, values: np.ndarray, powers: Powers):
+        up, self.down = powers.upto(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * up[: len(values)], dtype=np.uint64, out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        found = (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        return mix(found + (ends - starts).astype(np.uint64))
+
+
+def span_hashes(values: np.ndarray, starts, ends, powers: Powers) -> np.ndarray:
+    return Spans(values, powers).hashes(starts, ends)
 
 
 class Slice:
