@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.llm.chat import format_conversations, format_digest, text_parts
+from pairmill.llm.jaccard import jaccard_components
 from pairmill.llm.packing import best_fit_packing
 from pairmill.llm.quality import quality_scores
 from pairmill.llm.repetition import repetition_quality
@@ -88,6 +89,11 @@ def op7_toxicity_classifier(spark, sf_dir):
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_path())
