@@ -70,8 +70,11 @@ def fit(
     rounds = max(1, min(60, max(len(positive), len(unlabelled)) // settings.batch))
     total = settings.epochs * rounds
     for _ in range(total):
-        p = positive[random.integers(0, len(positive), min(settings.batch, len(positive)))]
-        u = unlabelled[random.integers(0, len(unlabelled), min(settings.batch, len(unlabelled)))]
+        drawn = [
+            rows[random.integers(0, len(rows), min(settings.batch, len(rows)))].astype(np.float64)
+            for rows in (positive, unlabelled)
+        ]
+        p, u = drawn
         margin_p, margin_u = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
         negative = risk_parts(margin_p, margin_u, prior)[1]
         pull_u = sigmoid(margin_u) / len(u)

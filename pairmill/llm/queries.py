@@ -10,8 +10,10 @@ from pairmill.llm.jaccard import jaccard_components
 from pairmill.llm.packing import best_fit_packing
 from pairmill.llm.quality import quality_scores
 from pairmill.llm.repetition import repetition_quality
+from pairmill.llm.templates import contaminated
 from pairmill.llm.token_counts import token_counts
 from pairmill.llm.toxicity import toxicity_scores
+from pairmill.llm.training_order import training_order
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -69,6 +71,11 @@ FROM turns GROUP BY conv_id
 """
 
 
+@query
+def op3_training_order(spark, sf_dir):
+    return training_order(table(spark, sf_dir, "documents"), vocabulary_path(), key=20_240_229)
+
+
 @query
 def op4_repetition_quality(spark, sf_dir):
     return repetition_quality(table(spark, sf_dir, "documents"))
@@ -94,6 +101,11 @@ def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_benchmark_templates(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_path())

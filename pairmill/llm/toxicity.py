@@ -200,7 +200,7 @@ def fit_toxicity(
 
     rows = chosen.select("positive", "_text").mapInArrow(run, "positive boolean, terms array<int>")
     found = sorted((bool(r["positive"]), tuple(r["terms"])) for r in rows.collect())
-    values = np.zeros((len(found), len(terms)), dtype=np.float32)
+    values = np.zeros((len(found), len(terms)), dtype=np.uint8)
     for row, (_, held) in enumerate(found):
         values[row, list(held)] = 1
     flags = np.array([f for f, _ in found], dtype=bool)
