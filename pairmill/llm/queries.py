@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmill.llm.chat import format_conversations, format_digest, text_parts
 from pairmill.llm.jaccard import jaccard_components
+from pairmill.llm.language_model import language_model_scores
 from pairmill.llm.packing import best_fit_packing
 from pairmill.llm.quality import quality_scores
 from pairmill.llm.repetition import repetition_quality
@@ -71,6 +72,11 @@ FROM turns GROUP BY conv_id
 """
 
 
+@query
+def op2_language_model(spark, sf_dir):
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_training_order(spark, sf_dir):
     return training_order(table(spark, sf_dir, "documents"), vocabulary_path(), key=20_240_229)
