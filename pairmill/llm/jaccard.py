@@ -29,16 +29,15 @@ from pyspark.sql.window import Window
 
 from pairmill.llm.components import connected_components
 from pairmill.llm.scan import (
-    LOWER, WORD_POWERS, Slice, mix, slices, span_hashes, window_hashes, word_hashes,
+    WORD_POWERS, Slice, mix, slices, span_hashes, window_hashes, word_hashes,
 )
+from pairmill.llm.selection import BROADCAST_IDS
 from pairmill.session import scratch_path, ship_package
 
 # Shingles that one task of the sharing count holds; more buckets are made for more.
 BUCKET_SHINGLES = 2_000_000
 # Bytes of text whose shingles are sorted together before they are sent.
 SORTED_BYTES = 6 << 20
-# Ids up to this number are broadcast to pick texts; beyond it the texts are shuffled.
-BROADCAST_IDS = 1_000_000
 # Sets that are compared at once.
 BLOCK_SETS = 256
 # Subsets of larger sets are never fewer than list entries.
