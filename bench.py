@@ -25,8 +25,6 @@ HEADLINES = {
     "stream_audit": "conversations",
     "batch_plan": "conversations",
     "tokenize_codepoints": "conversations",
-    "tokenize_bpe": "documents",
-    "batch_generate": "conversations",
     "acceptance_report": "conversations",
     "response_audit": "conversations",
     "live_stream_report": "conversations",

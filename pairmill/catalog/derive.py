@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.operators.spread import spread
 from pairmill.sources.raw import pairs_from_conversations
 
 # Fixed value: a text of characters that all count as blank.
@@ -22,6 +21,15 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs_from_conversations(table(spark, sf_dir, "conversations"))
 
 
+def thinned_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of conversations without system turns and without every seventh turn number, which
+    leaves gaps in the numbers."""
+    turns = table(spark, sf_dir, "conversations")
+    return pairs_from_conversations(
+        turns.where((F.col("role") != "system") & ((F.col("conv_id") + F.col("turn")) % 7 != 2))
+    )
+
+
 def gappy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs with the answers of some conversations missing or blank."""
     spoilt = (
@@ -46,7 +54,8 @@ def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Completion bodies: good, with an error, without choices, blank, or unfinished."""
+    """Completion bodies of every turn: good, with an error, without choices or with text behind
+    them, blank, or unfinished."""
     fault = F.col("conv_id") % 6
     content = F.when(fault == 4, BLANK_TEXT).otherwise(F.col("text"))
     choice = F.struct(
@@ -55,10 +64,11 @@ def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = (
         F.when(fault == 2, '{"error":null,"choices":[]}')
+        .when((fault == 3) & (F.col("turn") % 2 == 1), '{"choices":[]},0]')
         .when(fault == 3, '{"choices":[]}')
         .otherwise(F.to_json(F.struct(F.array(choice).alias("choices"))))
     )
-    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    turns = table(spark, sf_dir, "conversations")
     return turns.select("conv_id", "turn", body.alias("body"))
 
 
@@ -73,13 +83,13 @@ def model_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event lines of every assistant turn, with a fault by conversation.
+    """Event lines of every turn, with a fault by conversation.
 
     1 no end marker, 2 an error event midway, 3 all lines at one instant, 4 frames without
-    content, 5 a broken payload midway, 6 a failed transfer.
+    content, 5 a payload midway that is broken or has text behind it, 6 a failed transfer.
     """
-    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    numbered = spread(turns).select(
+    turns = table(spark, sf_dir, "conversations")
+    numbered = turns.select(
         "conv_id", "turn", "text",
         (F.col("conv_id") % 7).alias("fault"),
         F.ceil(F.length("text") / PIECE_CHARS).alias("n"),
@@ -92,7 +102,10 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("seq") == F.col("n") + 1, F.lit(None).cast("string"))
         .when(F.col("seq") == F.col("n"), "data: [DONE]")
         .when((F.col("fault") == 2) & midway, 'data: {"error":{"message":"overloaded"}}')
-        .when((F.col("fault") == 5) & midway, 'data: {"choices":[')
+        .when(
+            (F.col("fault") == 5) & midway,
+            F.when(F.col("turn") % 2 == 0, 'data: {"choices":[').otherwise('data: {"choices":[]},0]'),
+        )
         .when(F.col("fault") == 4, 'data: {"choices":[{"delta":{"role":"assistant"}}]}')
         .otherwise(
             F.concat(F.lit("data: "), F.to_json(F.struct(F.array(delta).alias("choices"))))
@@ -130,6 +143,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("job"), F.col("ts").alias("observed_at"),
         F.col("event_id").alias("seq"), deploy.alias("deploy_status"), job.alias("job_status"),
+        F.col("event_type").alias("reason"), F.col("props").alias("message"),
     )
 
 

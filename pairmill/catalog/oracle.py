@@ -104,15 +104,6 @@ SELECT {columns}count(*) AS rows_checked, {bad} AS rows_unusable,
 FROM {rows} {group}"""
 
 
-def answered(prompt: str) -> str:
-    text = f"({PREFIX} || {prompt} || {SUFFIX})"
-    return f"""WITH {PAIRS}
-SELECT conv_id, turn, instruction, response AS reference,
-       CASE length({text}) % 5 WHEN 0 THEN NULL WHEN 1 THEN ' ' || chr(9)
-                               ELSE 'echo: ' || {text} END AS generated
-FROM pairs"""
-
-
 def batches(workers: int, size: int, source: str, epochs: int = 2, seed: int = 42) -> str:
     """The batch plan over rows with a content_hash, by a plain global numbering."""
     return f"""
@@ -149,7 +140,7 @@ checkpoints AS (
 LINES = """
 turns AS (
   SELECT conv_id, turn, text, conv_id % 7 AS fault, CAST(ceil(length(text) / 40.0) AS BIGINT) AS n
-  FROM conversations WHERE role = 'assistant'),
+  FROM conversations),
 numbered AS (SELECT *, unnest(range(n + 2)) AS seq FROM turns),
 lines AS (
   SELECT conv_id || ':' || turn AS request_id, seq,
@@ -157,7 +148,8 @@ lines AS (
          CASE WHEN seq = n + 1 THEN NULL
               WHEN seq = n THEN 'data: [DONE]'
               WHEN fault = 2 AND seq = n // 2 THEN 'data: {"error":{"message":"overloaded"}}'
-              WHEN fault = 5 AND seq = n // 2 THEN 'data: {"choices":['
+              WHEN fault = 5 AND seq = n // 2 AND turn % 2 = 0 THEN 'data: {"choices":['
+              WHEN fault = 5 AND seq = n // 2 THEN 'data: {"choices":[]},0]'
               WHEN fault = 4 THEN 'data: {"choices":[{"delta":{"role":"assistant"}}]}'
               ELSE 'data: ' || CAST(to_json({'choices': [{'delta': {'content':
                      substring(text, CAST(seq * 40 + 1 AS BIGINT), 40)}}]}) AS VARCHAR) END AS line,
@@ -183,6 +175,8 @@ kinds AS (
 totals AS (
   SELECT request_id, max(transfer_rc) AS rc,
          min_by(kind, seq) FILTER (WHERE kind IN ('unparseable', 'error')) AS bad,
+         min_by(substring(payload, 1, 200), seq) FILTER (WHERE kind IN ('unparseable', 'error'))
+           AS evidence,
          bool_or(kind = 'done') AS done,
          count(*) FILTER (WHERE kind = 'content') AS chunks,
          coalesce(sum(length(piece)) FILTER (WHERE kind = 'content'), 0) AS chars,
@@ -199,7 +193,7 @@ SELECT request_id,
             WHEN chunks = 0 THEN 'no_content'
             WHEN chunks > 1 AND span_us < 150000 THEN 'buffered'
             ELSE 'ok' END AS verdict,
-       chunks, CAST(chars AS BIGINT) AS chars, protocol_frames, span_us,
+       chunks, CAST(chars AS BIGINT) AS chars, protocol_frames, span_us, evidence,
        replace(substring(text, 1, 120), chr(10), ' ') AS preview
 FROM totals"""
 
@@ -209,7 +203,8 @@ observations AS (
          CASE event_type WHEN 'signup' THEN 'Initializing' WHEN 'view' THEN 'Running'
                          WHEN 'click' THEN 'Running' ELSE 'Complete' END AS deploy_status,
          CASE event_type WHEN 'signup' THEN '' WHEN 'view' THEN 'RUNNING' WHEN 'click' THEN 'RUNNING'
-                         WHEN 'purchase' THEN 'SUCCEEDED' ELSE 'FAILED' END AS job_status
+                         WHEN 'purchase' THEN 'SUCCEEDED' ELSE 'FAILED' END AS job_status,
+         event_type AS reason, props AS message
   FROM events)"""
 
 ACCOUNTED = """
@@ -232,6 +227,12 @@ accounted AS (
 
 ORACLE = {
     "sft_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
+    "sft_pairs_with_gaps": """
+SELECT conv_id, turn, text AS instruction, next_text AS response
+FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+      FROM conversations WHERE role <> 'system' AND (conv_id + turn) % 7 <> 2
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+WHERE role = 'user' AND next_role = 'assistant'""",
     "raw_jsonl_scan": f"""WITH {GAPPY}
 SELECT instruction, response, CAST(repeat AS INTEGER) AS repeat
 FROM gappy, range(3) AS repeats(repeat)""",
@@ -302,8 +303,9 @@ SELECT conv_id, turn,
        CAST(to_json({{'model': 'sft-qwen', 'messages': [{{'role': 'user', 'content': instruction}}],
                      'max_tokens': 128, 'temperature': 0, 'stream': false}}) AS VARCHAR) AS body
 FROM pairs""",
-    "batch_generate": answered("instruction"),
-    "synthesize_pairs": answered("'Write the question this answers: ' || response"),
+    "gate_roundtrip": f"""WITH {GAPPY}
+SELECT 'first' AS run_id, 'model' AS model_version, 'holdout' AS eval_version,
+       (SELECT count(*) FROM gappy) AS rows_total, * FROM ({acceptance(0.5)})""",
     "acceptance_report": f"WITH {GAPPY} {acceptance(0.1)}",
     "acceptance_by_turn": f"WITH {GAPPY} {acceptance(0.2, 'turn')}",
     "acceptance_sample": f"""WITH {GAPPY},
@@ -341,27 +343,30 @@ WHERE place = 1""",
   SELECT conv_id, turn,
          CASE conv_id % 6
            WHEN 2 THEN '{{"error":null,"choices":[]}}'
-           WHEN 3 THEN '{{"choices":[]}}'
+           WHEN 3 THEN CASE turn % 2 WHEN 1 THEN '{{"choices":[]}},0]' ELSE '{{"choices":[]}}' END
            WHEN 4 THEN CAST(to_json({{'choices': [{{'message': {{'content': chr(160) || ' ' || chr(9)}},
                                                    'finish_reason': 'stop'}}]}}) AS VARCHAR)
            WHEN 5 THEN CAST(to_json({{'choices': [{{'message': {{'content': text}}}}]}}) AS VARCHAR)
            ELSE CAST(to_json({{'choices': [{{'message': {{'content': text}},
                                             'finish_reason': 'stop'}}]}}) AS VARCHAR) END AS body
-  FROM conversations WHERE role = 'assistant'),
+  FROM conversations),
+valid AS (SELECT *, CASE WHEN json_valid(body) THEN body END AS json FROM bodies),
 opened AS (
-  SELECT *, json_extract_string(body, '$.choices[0].message.content') AS content,
-         json_extract_string(body, '$.choices[0].finish_reason') AS finish
-  FROM bodies)
-SELECT conv_id, turn,
-       CASE WHEN NOT json_valid(body) THEN 'unparseable'
-            WHEN list_contains(json_keys(body), 'error') THEN 'error'
-            WHEN json_array_length(body, '$.choices') = 0 THEN 'no_choices'
-            WHEN {blank('content')} THEN 'no_content'
-            WHEN finish IS NULL OR finish = '' THEN 'no_finish_reason'
-            ELSE 'ok' END AS reason,
-       length(content) AS content_chars,
-       replace(substring(content, 1, 120), chr(10), ' ') AS preview
-FROM opened""",
+  SELECT *, json_extract_string(json, '$.choices[0].message.content') AS content,
+         json_extract_string(json, '$.choices[0].finish_reason') AS finish
+  FROM valid),
+judged AS (
+  SELECT *, CASE WHEN json IS NULL THEN 'unparseable'
+                 WHEN list_contains(json_keys(json), 'error') THEN 'error'
+                 WHEN json_array_length(json, '$.choices') = 0 THEN 'no_choices'
+                 WHEN {blank('content')} THEN 'no_content'
+                 WHEN finish IS NULL OR finish = '' THEN 'no_finish_reason'
+                 ELSE 'ok' END AS reason
+  FROM opened)
+SELECT conv_id, turn, reason, length(content) AS content_chars,
+       replace(substring(content, 1, 120), chr(10), ' ') AS preview, finish AS finish_reason,
+       CASE WHEN reason IN ('unparseable', 'error') THEN substring(body, 1, 200) END AS evidence
+FROM judged""",
     "model_listed": """
 SELECT conv_id, turn, 'm-' || (conv_id % 5) = 'm-3' OR 'm-' || turn = 'm-3' AS listed
 FROM conversations""",
@@ -386,13 +391,20 @@ judged AS (
   FROM observations)
 SELECT job, coalesce(arg_min(verdict, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL),
                      'running') AS outcome,
-       count(*) AS observations, min(observed_at) AS first_at, max(observed_at) AS last_at
+       count(*) AS observations, min(observed_at) AS first_at, max(observed_at) AS last_at,
+       CASE WHEN outcome NOT IN ('timeout', 'running') THEN
+         arg_min(reason, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) END AS reason,
+       CASE WHEN outcome NOT IN ('timeout', 'running') THEN
+         arg_min(message, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) END AS message
 FROM judged GROUP BY job""",
     "capacity_accounting": f"""WITH {ACCOUNTED}
 SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb, CAST(max_model_len AS INTEGER)
          AS max_model_len, per_token AS kv_bytes_per_token,
        CAST(floor(budget) AS BIGINT) AS token_budget,
-       round(budget / max_model_len, 6) AS worst_case_sequences
+       round(budget / max_model_len, 6) AS worst_case_sequences,
+       CAST(floor(CAST(card_gb AS DOUBLE) * 1e9 * 1 * CAST(0.85 AS DOUBLE)) AS BIGINT)
+         AS reserved_bytes,
+       CAST(weight_bytes AS BIGINT) AS weight_bytes, per_token * max_model_len AS sequence_bytes
 FROM accounted""",
     "capacity_by_length": f"""WITH {ACCOUNTED}
 SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb, CAST(n AS INTEGER) AS length,
@@ -410,6 +422,8 @@ SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb,
            CASE WHEN target > budget / max_model_len THEN 'oversubscribed'
                 WHEN budget / max_model_len / target > 20 THEN 'too_conservative' END END,
          CASE WHEN most <> 0 AND target <> 0 AND most <= target THEN 'no_buffer' END],
-         lambda f: f IS NOT NULL), ',') AS findings
+         lambda f: f IS NOT NULL), ',') AS findings,
+       CASE WHEN target <> 0 AND budget <> 0
+            THEN round(budget / max_model_len / target, 6) END AS target_ratio
 FROM accounted""",
 }

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from pairmill.catalog import derive
-from pairmill.config import PrepConfig
+from pairmill.config import GenConfig, PrepConfig, TrainConfig
 from pairmill.functions import text
-from pairmill.functions.tokens import CodepointTokenizer, FileTokenizer
+from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators import audits, capacity, curate, encode, gate, generate, status, training
-from pairmill.operators.spread import spread
+from pairmill.plans import inference
 from pairmill.plans.handoff import write_batches
 from pairmill.plans.prepare import prepare, read_manifest
 from pairmill.session import scratch_path
+from pairmill.sinks import publish
 from pairmill.sinks.publish import write_eval
 from pairmill.sources import raw, versions
 from pairmill.streaming.live_audit import live_stream_audit
@@ -35,8 +35,11 @@ def joined(*arrays: str) -> list:
 
 
 def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated pairs, written once, as preparation does, for the steps that read them twice."""
     rows = curate.drop_blank(derive.pairs(spark, sf_dir)).select("instruction", "response")
-    return curate.exact_dedup(curate.with_content_hash(rows))
+    staged = scratch_path(spark, "pairs")
+    curate.exact_dedup(curate.with_content_hash(rows)).write.parquet(staged)
+    return spark.read.parquet(staged)
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,11 @@ def sft_pairs(spark, sf_dir):
     return derive.pairs(spark, sf_dir)
 
 
+@query
+def sft_pairs_with_gaps(spark, sf_dir):
+    return derive.thinned_pairs(spark, sf_dir)
+
+
 @query
 def raw_jsonl_scan(spark, sf_dir):
     path = scratch_path(spark, "raw")
@@ -169,7 +177,7 @@ def render_prompt(spark, sf_dir):
 
 @query
 def tokenize_codepoints(spark, sf_dir):
-    return spread(derive.table(spark, sf_dir, "conversations")).select(
+    return derive.table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.array_join(text.codepoints(F.col("text")), ",").alias("ids")
     )
 
@@ -196,34 +204,6 @@ def encode_sft_512(spark, sf_dir):
     )
 
 
-def bpe_tokenizer(spark):
-    from public_tokenizers import path
-
-    return FileTokenizer(spark, f"file://{path('byte_bpe_50k.json')}", "<|endoftext|>")
-
-
-def tokenize_bpe(spark, sf_dir):
-    tokenizer = bpe_tokenizer(spark)
-    texts = spread(derive.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return texts.select("doc_id", tokenizer.ids(F.col("text")).alias("ids"))
-
-
-def encode_sft_bpe(spark, sf_dir):
-    return encode.encode_sft(
-        spread(train_rows(spark, sf_dir)), bpe_tokenizer(spark), 512, keep=("content_hash",)
-    )
-
-
-try:
-    import public_tokenizers  # noqa: F401
-    import tokenizers  # noqa: F401
-
-    query(tokenize_bpe)
-    query(encode_sft_bpe)
-except ImportError:
-    pass
-
-
 @query
 def supervision_audit(spark, sf_dir):
     return training.supervision_audit(encoded(spark, sf_dir))
@@ -232,18 +212,6 @@ def supervision_audit(spark, sf_dir):
 # Generation and its gate.
 
 
-def echo_model(model_version: str = "", sampling: dict | None = None):
-    """A stand-in for a model: answers with the prompt, and at times not at all or blankly."""
-
-    def predict(prompts: np.ndarray) -> np.ndarray:
-        answers = [
-            None if len(p) % 5 == 0 else " \t" if len(p) % 5 == 1 else f"echo: {p}" for p in prompts
-        ]
-        return np.array(answers, dtype=object)
-
-    return predict
-
-
 @query
 def generation_requests(spark, sf_dir):
     requests = generate.generation_requests(derive.pairs(spark, sf_dir))
@@ -263,25 +231,6 @@ def request_bodies(spark, sf_dir):
     return bodies.select("conv_id", "turn", "body")
 
 
-@query
-def batch_generate(spark, sf_dir):
-    return generate.batch_generate(
-        derive.pairs(spark, sf_dir), echo_model, keep=("conv_id", "turn")
-    )
-
-
-@query
-def synthesize_pairs(spark, sf_dir):
-    def ask_for_question(rows):
-        task = F.concat(F.lit("Write the question this answers: "), F.col("response"))
-        return rows.withColumn("messages", generate.user_message(task))
-
-    return generate.batch_generate(
-        derive.pairs(spark, sf_dir), echo_model, preprocess=ask_for_question,
-        keep=("conv_id", "turn"),
-    )
-
-
 @query
 def acceptance_report(spark, sf_dir):
     return gate.acceptance_report(derive.generated(spark, sf_dir), max_empty_fraction=0.1)
@@ -299,6 +248,19 @@ def acceptance_sample(spark, sf_dir):
     return gate.acceptance_report(derive.generated(spark, sf_dir), 50, 0.2)
 
 
+@query
+def gate_roundtrip(spark, sf_dir):
+    """Generated rows written as a version and judged as read back, with the report on file."""
+    root = scratch_path(spark, "outputs")
+    config = GenConfig(
+        f"{root}/models", f"{root}/data", f"{root}/out", "first", max_empty_fraction=0.5
+    )
+    output = publish.claim_version(spark, config.output_root, "v-first")
+    inference.write_generated(derive.generated(spark, sf_dir), output)
+    inference.accept(spark, config, output, "model", "holdout")
+    return inference.read_report(spark, output)
+
+
 @query
 def context_budget(spark, sf_dir):
     asked = derive.table(spark, sf_dir, "documents").select(
@@ -324,8 +286,6 @@ def batch_steps(spark, sf_dir):
 @query
 def batch_layout(spark, sf_dir):
     """The batch files as a worker finds them, with the supervised tokens of each batch."""
-    from pairmill.config import TrainConfig
-
     root = _published(spark, sf_dir)
     output = scratch_path(spark, "batches")
     write_batches(spark, TrainConfig(root, run_id="first"), output)
@@ -379,18 +339,34 @@ def stream_audit(spark, sf_dir):
 
 @query
 def live_stream_report(spark, sf_dir):
-    """The same lines as a file stream, run to its end."""
+    """The same lines as a file stream over several triggers, in no order.
+
+    A line two months later, of a request that stays open, lets the watermark pass all others.
+    Texts are looked up in the log afterwards.
+    """
     root = scratch_path(spark, "stream")
     lines = derive.stream_lines(spark, sf_dir)
-    lines.write.parquet(f"{root}/lines")
-    stream = spark.readStream.schema(lines.schema).parquet(f"{root}/lines")
+    lines.repartition(4).write.parquet(f"{root}/lines")
+    log = spark.read.parquet(f"{root}/lines")
+    latest = log.agg(F.max("arrived_at").alias("arrived_at"))
+    late = latest.select(
+        F.lit("").alias("request_id"), F.lit(0).cast("bigint").alias("seq"),
+        F.expr("arrived_at + INTERVAL 60 DAYS").alias("arrived_at"),
+        F.lit(None).cast("string").alias("line"), F.lit(None).cast("int").alias("transfer_rc"),
+    )
+    late.coalesce(1).write.mode("append").parquet(f"{root}/lines")
+    stream = (
+        spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2)
+        .parquet(f"{root}/lines")
+    )
     run = (
-        live_stream_audit(stream).writeStream.format("parquet")
+        live_stream_audit(stream, lateness="30 days").writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/reports")
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return spark.read.parquet(f"{root}/reports")
+    reports = spark.read.parquet(f"{root}/reports")
+    return audits.with_previews(reports, log)
 
 
 @query
@@ -418,6 +394,7 @@ def capacity_accounting(spark, sf_dir):
         "source", "model", "card_gb", "max_model_len", "kv_bytes_per_token",
         F.floor("token_budget").alias("token_budget"),
         F.round("worst_case_sequences", 6).alias("worst_case_sequences"),
+        F.floor("reserved_bytes").alias("reserved_bytes"), "weight_bytes", "sequence_bytes",
     )
 
 
@@ -439,5 +416,6 @@ def capacity_at_observed_length(spark, sf_dir):
 @query
 def capacity_findings(spark, sf_dir):
     return capacity.capacity_findings(accounted(spark, sf_dir)).select(
-        "source", "model", "card_gb", F.array_join("findings", ",").alias("findings")
+        "source", "model", "card_gb", F.array_join("findings", ",").alias("findings"),
+        F.round("target_ratio", 6).alias("target_ratio"),
     )

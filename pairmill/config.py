@@ -58,6 +58,8 @@ class PrepConfig(_FromEnv):
     eval_max_fraction: float = 0.25
     min_answer_tokens: int = 16
     raw_format: str = "json"
+    # Tasks that tokenize; 0 keeps the partitions of the deduplicated pairs.
+    tokenize_partitions: int = 0
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,22 @@ class GenConfig(_FromEnv):
     max_tokens: int = 256
 
 
+@dataclass(frozen=True)
+class AuditConfig(_FromEnv):
+    """Tables of the audit jobs, and the limits of the acceptance checks.
+
+    ``min_stream_span`` and ``curl_max_time`` are seconds.
+    """
+
+    log_path: str = ""
+    report_path: str = ""
+    model_id: str = ""
+    min_stream_span: float = 0.15
+    curl_max_time: int = 180
+    job_timeout: int = 3600
+    max_failing: int = 0
+
+
 # Shortest time from the first to the last content chunk, and the limit of one transfer.
 MIN_STREAM_SPAN_US = 150_000
 TRANSFER_LIMIT_S = 180

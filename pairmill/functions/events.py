@@ -10,6 +10,8 @@ from pairmill.functions.text import strip
 
 IGNORED, DONE, UNPARSEABLE, ERROR, CONTENT, PROTOCOL = range(6)
 MARKER = "data: "
+# Characters of a broken payload that a report shows.
+EVIDENCE_CHARS = 200
 # What a frame is read as; a part of another shape is null in it.
 FRAME = "struct<error variant, choices array<struct<delta struct<content variant>>>>"
 
@@ -34,7 +36,8 @@ def _payloads(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
 
 
 def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Replaces ``line`` by ``kind``, ``chunks`` (content pieces in it) and their joined ``text``.
+    """Replaces ``line`` by ``kind``, ``chunks`` (content pieces in it), their joined ``text`` and
+    ``evidence``, the beginning of a payload that is unparseable or an error.
 
     Each step is its own projection, so the JSON of a line is parsed once. Nearly every event has
     one choice with a delta and is read by a single extraction; any other goes through the list
@@ -48,7 +51,7 @@ def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         *keep,
         "_payload",
         "_json",
-        F.when(V.is_complete(F.col("_json")), V.get(F.col("_json"), "$[0]", FRAME)).alias("_frame"),
+        F.when(V.is_complete(F.col("_json"), F.col("_payload")), V.get(F.col("_json"), "$[0]", FRAME)).alias("_frame"),
     )
     # No object at all, or one with an error, settles the kind.
     early = (
@@ -62,6 +65,7 @@ def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     opened = framed.select(
         *keep,
         early.alias("_early"),
+        F.substring("_payload", 1, EVIDENCE_CHARS).alias("_evidence"),
         F.coalesce(plain, F.lit(False)).alias("_plain"),
         delta["content"].alias("_content"),
         F.when(early.isNull() & ~F.coalesce(plain, F.lit(False)), F.col("_json")).alias("_json"),
@@ -80,6 +84,7 @@ def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     pieces = opened.select(
         *keep,
         "_early",
+        "_evidence",
         "_plain",
         F.when(~F.col("_plain") & F.col("_early").isNull(), wrong).alias("_wrong"),
         F.when(F.col("_plain"), F.nullif(_text(F.col("_content")), F.lit(""))).alias("_piece"),
@@ -97,7 +102,7 @@ def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         F.lit(PROTOCOL),
     )
     classified = pieces.withColumn("_chunks", chunks).select(
-        *keep, kind.alias("kind"), "_chunks", "_piece", "_pieces"
+        *keep, kind.alias("kind"), "_chunks", "_piece", "_pieces", "_evidence"
     )
     content = F.col("kind") == CONTENT
     text = F.coalesce(F.col("_piece"), F.array_join("_pieces", ""))
@@ -106,4 +111,5 @@ def classify_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         "kind",
         F.when(content, F.col("_chunks")).otherwise(0).alias("chunks"),
         F.when(content, text).alias("text"),
+        F.when(F.col("kind").isin(UNPARSEABLE, ERROR), F.col("_evidence")).alias("evidence"),
     )

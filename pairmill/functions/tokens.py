@@ -36,13 +36,12 @@ class CodepointTokenizer:
         return F.struct(self.ids(prompt).alias("prompt_ids"), self.ids(answer).alias("answer_ids"))
 
 
-# A tokenizer file travels to every executor, so its size is bounded.
-MAX_TOKENIZER_BYTES = 64 << 20
-
-
 class FileTokenizer:
     """A ``tokenizer.json`` of the tokenizers library, loaded once per task over Arrow batches.
 
+    An optional plug-in. The file is a fixed vocabulary that does not grow with the data, so it
+    is broadcast.
+
     Its UDFs are marked non-deterministic so that a later filter on the number of ids is not
     pushed below them, which would tokenize every text twice.
     """
@@ -51,8 +50,6 @@ class FileTokenizer:
         self, spark: SparkSession, path: str, eos_token: str, pad_token: str | None = None
     ):
         definition = files.read_text(spark, path)
-        if len(definition) > MAX_TOKENIZER_BYTES:
-            raise ValueError(f"{path} is larger than {MAX_TOKENIZER_BYTES} bytes")
         ship_package(spark)
         self._definition = spark.sparkContext.broadcast(definition)
         tokenizer = _load(definition)

@@ -6,19 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _seal(text: Column) -> Column:
+    """A number that the text itself cannot hold, since it is the text's hash."""
+    return F.xxhash64(text)
+
+
 def parse_guarded(text: Column) -> Column:
     """The JSON value of the text as the first of two array elements.
 
-    The parser stops after the first value, so the text is read inside an array: anything left
-    over behind it moves or hides the second element, see ``is_complete``.
+    The parser stops after the first value, so the text is read inside an array that its hash
+    closes: anything left over behind the value moves or hides the hash, see ``is_complete``.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), _seal(text), F.lit("]")))
 
 
-def is_complete(guarded: Column) -> Column:
+def is_complete(guarded: Column, text: Column) -> Column:
     """Whether the text was exactly one JSON value."""
-    whole = (get(guarded, "$[1]", "int") == 0) & get(guarded, "$[2]").isNull()
-    return F.coalesce(whole, F.lit(False))
+    sealed = get(guarded, "$[1]", "bigint") == _seal(text)
+    return F.coalesce(sealed & get(guarded, "$[2]").isNull(), F.lit(False))
 
 
 def get(value: Column, path: str, kind: str = "variant") -> Column:

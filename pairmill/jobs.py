@@ -1,10 +1,15 @@
 """The jobs from the command line, configured by environment variables.
 
-    spark-submit ... pairmill/jobs.py prepare | batches | infer
+    spark-submit ... pairmill/jobs.py JOB
+
+prepare, batches, infer and export follow a data set to a model; audit-streams, audit-responses,
+audit-models, status and capacity judge a table of logs (LOG_PATH), write a report (REPORT_PATH)
+and then fail if more than MAX_FAILING rows fail.
 
 Settings are named like the fields of the configuration classes in upper case. Besides them
 TOKENIZER_JSON, EOS_TOKEN and PAD_TOKEN choose a tokenizer file, BATCHES_DIR is where batches are
-laid out, and GENERATOR names the model loader as module:function.
+laid out, GENERATOR names the model loader as module:function, and CHECKPOINTS_PATH the table of
+checkpoints to export from.
 """
 
 from __future__ import annotations
@@ -17,13 +22,18 @@ import sys
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pairmill.config import GenConfig, PrepConfig, TrainConfig  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from pairmill.config import AuditConfig, GenConfig, PrepConfig, TrainConfig  # noqa: E402
+from pairmill.errors import JobFailed  # noqa: E402
 from pairmill.functions.tokens import FileTokenizer  # noqa: E402
+from pairmill.operators import audits, capacity, status  # noqa: E402
 from pairmill.operators.gate import preview  # noqa: E402
-from pairmill.plans.handoff import write_batches  # noqa: E402
+from pairmill.plans.handoff import export_run, write_batches  # noqa: E402
 from pairmill.plans.inference import check_context, read_generated, run_inference  # noqa: E402
 from pairmill.plans.prepare import prepare  # noqa: E402
 from pairmill.session import build_session  # noqa: E402
+from pairmill.sources import versions  # noqa: E402
 
 
 def run_prepare(spark) -> str:
@@ -49,7 +59,68 @@ def run_infer(spark) -> str:
     return output
 
 
-JOBS = {"prepare": run_prepare, "batches": run_batches, "infer": run_infer}
+def run_export(spark) -> str:
+    """Publishes the best checkpoint of the run, with the metrics of its epoch."""
+    config = TrainConfig.from_env()
+    checkpoints = spark.read.parquet(os.environ["CHECKPOINTS_PATH"])
+    chosen = checkpoints.where((F.col("run_id") == config.run_id) & F.col("loss").isNotNull())
+    best = chosen.orderBy("loss", "epoch").first()
+    metrics = {"loss": best["loss"], "epoch": float(best["epoch"])} if best else {}
+    data = versions.resolve_data(spark, config.tokenized_dir)
+    return " ".join(export_run(spark, config, checkpoints, data, metrics))
+
+
+def _reported(spark, config: AuditConfig, report, failing) -> str:
+    """Writes a report, then fails if too many of its rows do."""
+    report.write.mode("errorifexists").parquet(config.report_path)
+    bad = spark.read.parquet(config.report_path).where(failing)
+    count = bad.count()
+    if count > config.max_failing:
+        first = json.dumps(bad.first().asDict(), ensure_ascii=False, default=str)
+        raise JobFailed(f"{count} rows of {config.report_path} fail, among them {first}")
+    return config.report_path
+
+
+def run_audit_streams(spark) -> str:
+    config = AuditConfig.from_env()
+    report = audits.stream_audit(
+        spark.read.parquet(config.log_path), round(config.min_stream_span * 1_000_000)
+    )
+    return _reported(spark, config, report, F.col("verdict") != "ok")
+
+
+def run_audit_responses(spark) -> str:
+    config = AuditConfig.from_env()
+    report = audits.response_audit(spark.read.parquet(config.log_path))
+    return _reported(spark, config, report, F.col("reason") != "ok")
+
+
+def run_audit_models(spark) -> str:
+    config = AuditConfig.from_env()
+    report = audits.model_listed(spark.read.parquet(config.log_path), config.model_id)
+    return _reported(spark, config, report, ~F.col("listed"))
+
+
+def run_status(spark) -> str:
+    config = AuditConfig.from_env()
+    report = status.job_outcome(spark.read.parquet(config.log_path), config.job_timeout)
+    return _reported(spark, config, report, F.col("outcome") != "success")
+
+
+def run_capacity(spark) -> str:
+    config = AuditConfig.from_env()
+    accounted = capacity.capacity_accounting(
+        spark.read.parquet(config.log_path), capacity.known_models(spark)
+    )
+    report = capacity.capacity_findings(accounted)
+    return _reported(spark, config, report, F.size("findings") > 0)
+
+
+JOBS = {
+    "prepare": run_prepare, "batches": run_batches, "infer": run_infer, "export": run_export,
+    "audit-streams": run_audit_streams, "audit-responses": run_audit_responses,
+    "audit-models": run_audit_models, "status": run_status, "capacity": run_capacity,
+}
 
 
 def main(job: str) -> None:

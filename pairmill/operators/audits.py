@@ -10,18 +10,21 @@ from pairmill.config import MIN_STREAM_SPAN_US
 from pairmill.functions import events as E
 from pairmill.functions import variants as V
 from pairmill.functions.text import nonblank
+from pairmill.session import scratch_path
 
 PREVIEW_CHARS = 120
 
 
 def response_audit(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Adds the first failing check of a completion body, its length and a preview."""
+    """Adds the first failing check of a completion body, its length, a preview, the finish reason
+    and, of a body that is unparseable or an error, its beginning."""
     keep = responses.columns
     parsed = responses.withColumn("_json", V.parse_guarded(F.col(body)))
-    value = F.when(V.is_complete(F.col("_json")), V.get(F.col("_json"), "$[0]"))
+    value = F.when(V.is_complete(F.col("_json"), F.col(body)), V.get(F.col("_json"), "$[0]"))
     first = "$[0].choices[0]"
     opened = parsed.select(
         *keep,
+        F.substring(body, 1, E.EVIDENCE_CHARS).alias("_evidence"),
         V.is_kind(value, "OBJECT").alias("_object"),
         V.get(F.col("_json"), "$[0].error").isNotNull().alias("_error"),
         V.get(F.col("_json"), first).alias("_first"),
@@ -45,6 +48,8 @@ def response_audit(responses: DataFrame, body: str = "body") -> DataFrame:
         reason.alias("reason"),
         F.length("_text").cast("bigint").alias("content_chars"),
         preview_of(F.col("_text")).alias("preview"),
+        V.get(F.col("_finish"), "$", "string").alias("finish_reason"),
+        F.when(reason.isin("unparseable", "error"), F.col("_evidence")).alias("evidence"),
     )
 
 
@@ -59,48 +64,62 @@ def model_listed(bodies: DataFrame, model_id: str, body: str = "body") -> DataFr
     return bodies.withColumn("listed", listed).drop(body)
 
 
-def stream_totals(events: DataFrame) -> DataFrame:
-    """Per request the counts a verdict needs.
+def narrow_events(events: DataFrame) -> DataFrame:
+    """Of classified lines what totals and previews need: texts become a length and a beginning."""
+    return events.select(
+        "request_id", "seq", "arrived_at", "transfer_rc", "kind", "chunks",
+        F.length("text").alias("chars"), F.substring("text", 1, PREVIEW_CHARS).alias("head"),
+        "evidence",
+    )
+
 
-    All are fixed-width and combined before the shuffle, so a request holding a large part of all
-    lines is one row per map task by then.
+def total_columns() -> list[Column]:
+    """The counts a verdict needs.
+
+    All are of bounded width and combined before the shuffle, so a request holding a large part
+    of all lines is one row per map task by then.
     """
     content = F.col("kind") == E.CONTENT
     bad = F.col("kind").isin(E.UNPARSEABLE, E.ERROR)
     arrived = F.when(content, F.unix_micros("arrived_at"))
-    return events.groupBy("request_id").agg(
+    bad_seq = F.when(bad, F.col("seq"))
+    return [
         F.max("transfer_rc").alias("transfer_rc"),
-        F.min_by(F.when(bad, F.col("kind")), F.when(bad, F.col("seq"))).alias("bad_kind"),
+        F.min_by(F.when(bad, F.col("kind")), bad_seq).alias("bad_kind"),
+        F.min_by("evidence", bad_seq).alias("evidence"),
         F.coalesce(F.bool_or(F.col("kind") == E.DONE), F.lit(False)).alias("done"),
         F.sum("chunks").cast("bigint").alias("chunks"),
-        F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("chars"),
+        F.coalesce(F.sum("chars"), F.lit(0)).cast("bigint").alias("chars"),
         F.count_if(F.col("kind") == E.PROTOCOL).alias("protocol_frames"),
         (F.max(arrived) - F.min(arrived)).alias("span_us"),
-    )
+    ]
+
+
+def stream_totals(events: DataFrame) -> DataFrame:
+    return events.groupBy("request_id").agg(*total_columns())
 
 
 def stream_previews(events: DataFrame) -> DataFrame:
     """The joined text's first characters, per request.
 
     Content lines are not empty, so the first 120 of them hold the first 120 characters; the rank
-    limit is applied before the shuffle as well as after it. Other lines rank last instead of
-    being filtered out: a filter would be pushed below the parsing and repeat all of it.
+    limit is applied before the shuffle as well as after it.
     """
-    content = F.col("kind") == E.CONTENT
-    first = Window.partitionBy("request_id").orderBy(~F.col("_content"), "seq")
+    first = Window.partitionBy("request_id").orderBy("seq")
     lines = (
-        events.select(
-            "request_id", "seq", content.alias("_content"),
-            F.substring("text", 1, PREVIEW_CHARS).alias("text"),
-        )
+        events.where(F.col("kind") == E.CONTENT).select("request_id", "seq", "head")
         .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= PREVIEW_CHARS)
     )
-    pieces = F.collect_list(F.when(F.col("_content"), F.struct("seq", "text")))
-    joined = F.array_join(F.array_sort(pieces)["text"], "")
-    return lines.groupBy("request_id").agg(
-        F.when(F.count_if("_content") > 0, preview_of(joined)).alias("preview")
-    )
+    joined = F.array_join(F.array_sort(F.collect_list(F.struct("seq", "head")))["head"], "")
+    return lines.groupBy("request_id").agg(preview_of(joined).alias("preview"))
+
+
+def with_previews(reports: DataFrame, lines: DataFrame) -> DataFrame:
+    """Reports of requests with the beginnings of their texts, looked up in the log."""
+    wanted = lines.join(reports.select("request_id"), "request_id", "left_semi")
+    previews = stream_previews(narrow_events(E.classify_lines(wanted)))
+    return reports.join(previews, "request_id", "left")
 
 
 def verdict(min_span_us: int = MIN_STREAM_SPAN_US) -> Column:
@@ -120,7 +139,9 @@ def verdict(min_span_us: int = MIN_STREAM_SPAN_US) -> Column:
     )
 
 
-REPORT_COLUMNS = ("request_id", "verdict", "chunks", "chars", "protocol_frames", "span_us")
+REPORT_COLUMNS = (
+    "request_id", "verdict", "chunks", "chars", "protocol_frames", "span_us", "evidence",
+)
 
 
 def stream_audit(
@@ -129,9 +150,14 @@ def stream_audit(
     """Judges every request in a log of (request_id, seq, arrived_at, line, transfer_rc).
 
     The last row of a request has no line but the exit code of its transfer; without one the
-    transfer counts as failed.
+    transfer counts as failed. With previews the classified lines are written once to the shared
+    folder, so that the log is read and parsed once for both.
     """
-    events = E.classify_lines(lines)
+    events = narrow_events(E.classify_lines(lines))
+    if with_preview:
+        staged = scratch_path(lines.sparkSession, "events")
+        events.write.parquet(staged)
+        events = lines.sparkSession.read.parquet(staged)
     report = stream_totals(events).withColumn("verdict", verdict(min_span_us))
     report = report.select(*REPORT_COLUMNS)
     if not with_preview:

@@ -14,7 +14,6 @@ MODELS = [
 MODEL_SCHEMA = "model string, layers int, kv_heads int, head_dim int, weight_bytes bigint"
 AVERAGE_LENGTHS = (512, 1024, 2048, 4096)
 HEADROOM_LIMIT = 20
-MAX_MODELS = 10_000
 
 
 def known_models(spark: SparkSession) -> DataFrame:
@@ -27,20 +26,20 @@ def capacity_accounting(
     """Key/value bytes per token, the pool left by the weights, and the tokens that fit in it.
 
     ``configs`` holds model, card_gb, gpu_memory_utilization, tensor_parallel_size and
-    max_model_len besides whatever identifies a row. ``models`` is broadcast, so its size is
-    checked. Heads are those of keys and values, not of attention.
+    max_model_len besides whatever identifies a row. Heads are those of keys and values, not of
+    attention. Reserved and weight bytes and the bytes of one full sequence are kept as evidence.
     """
-    if models.count() > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} model shapes")
     per_token = (
         F.lit(2).cast("bigint") * F.col("layers") * F.col("kv_heads") * F.col("head_dim")
         * dtype_bytes
     )
     memory = F.col("card_gb").cast("double") * F.lit(1e9) * F.col("tensor_parallel_size")
     return (
-        configs.join(F.broadcast(models), "model")
+        configs.join(models, "model")
         .withColumn("kv_bytes_per_token", per_token)
-        .withColumn("kv_pool_bytes", memory * F.col("gpu_memory_utilization") - F.col("weight_bytes"))
+        .withColumn("reserved_bytes", memory * F.col("gpu_memory_utilization"))
+        .withColumn("kv_pool_bytes", F.col("reserved_bytes") - F.col("weight_bytes"))
+        .withColumn("sequence_bytes", F.col("kv_bytes_per_token") * F.col("max_model_len"))
         .withColumn(
             "token_budget",
             F.when(
@@ -70,7 +69,8 @@ def observed_lengths(tokens: DataFrame, by: tuple, length: str = "tokens") -> Da
 
 
 def capacity_findings(accounted: DataFrame) -> DataFrame:
-    """Adds the codes of what is wrong with each configuration, in a fixed order.
+    """Adds the codes of what is wrong with each configuration, in a fixed order, and the ratio of
+    worst-case sequences to the target.
 
     Over-subscription and too much headroom exclude each other and need a target and a budget.
     """
@@ -88,4 +88,5 @@ def capacity_findings(accounted: DataFrame) -> DataFrame:
             F.when((most != 0) & (target != 0) & (most <= target), "no_buffer"),
         )
     )
-    return accounted.withColumn("findings", findings)
+    ratio = F.when(judged, worst / F.when(target != 0, target))
+    return accounted.withColumn("findings", findings).withColumn("target_ratio", ratio)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pairmill.functions.text import content_hash, nonblank
-from pairmill.operators.selection import IN_ONE_TASK, smallest
+from pairmill.operators.selection import smallest
 
 
 def drop_blank(pairs: DataFrame) -> DataFrame:
@@ -69,11 +69,12 @@ def holdout_keys(
 ) -> DataFrame:
     """The ``holdout_size`` smallest content hashes.
 
-    With ``total`` unknown and a small ``eval_rows`` the size stays an expression and nothing
-    runs here; otherwise the rows are counted first.
+    Without ``total`` the size stays an expression and nothing runs here: the smallest
+    ``eval_rows`` hashes are numbered in one task, so it has to be a small number. With ``total``
+    any number is cut out by counting.
     """
     hashes = deduped.select("content_hash")
-    if total is None and eval_rows <= IN_ONE_TASK:
+    if total is None:
         share = F.floor(F.count(F.lit(1)) * F.lit(float(max_fraction)))
         size = hashes.agg(F.least(F.lit(eval_rows), F.greatest(F.lit(1), share)))
         # Numbers the eval_rows smallest hashes only.
@@ -84,8 +85,6 @@ def holdout_keys(
             .where(F.col("_rank") <= size.scalar())
             .select("content_hash")
         )
-    if total is None:
-        total = deduped.count()
     return smallest(hashes, "content_hash", holdout_size(total, eval_rows, max_fraction))
 
 

@@ -4,51 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-# Up to this many rows a top-n may end in one task; beyond it the cut is found by counting.
+# Rows of the group the cut falls into that one task may sort.
 IN_ONE_TASK = 100_000
 # Hex digits per counting round: at most 65,536 counts reach the driver.
 DIGITS = 4
 
 
-def smallest(
-    rows: DataFrame, key: str, n: int, copies: str | None = None, in_one_task: int = IN_ONE_TASK
-) -> DataFrame:
+def smallest(rows: DataFrame, key: str, n: int, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """The ``n`` rows smallest by ``key``, a column of unique lower-case hex digests.
 
-    A large ``n`` is not sorted in one task. Rows are counted by the leading digits of the key
-    until the cut falls into a group small enough to sort; every row below that group is kept by
-    a plain comparison. ``copies`` names a column saying how many equal rows each row stands for;
-    the last one kept is then reduced so that the copies add up to ``n``.
+    Nothing large is sorted in one task. Rows are counted by the leading digits of the key until
+    the cut falls into a group small enough to sort; every row below that group is kept by a
+    plain comparison.
     """
-    if copies is None and n <= in_one_task:
-        return rows.orderBy(key).limit(n)
-    weight = F.col(copies) if copies else F.lit(1)
     prefix, left, size = "", n, None
-    while left > in_one_task and (size is None or size > in_one_task):
+    while size is None or size > in_one_task:
         groups = (
             rows.where(F.col(key).startswith(prefix))
             .groupBy(F.substring(key, 1, len(prefix) + DIGITS).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("size"), F.sum(weight).alias("weight"))
+            .agg(F.count(F.lit(1)).alias("size"))
             .orderBy("prefix")
             .collect()
         )
         for group in groups:
-            if left <= group["weight"]:
+            if left <= group["size"]:
                 prefix, size = group["prefix"], group["size"]
                 break
-            left -= group["weight"]
+            left -= group["size"]
         else:
             return rows
-    inside = rows.where(F.col(key).startswith(prefix)).orderBy(key).limit(min(left, in_one_task))
-    if copies:
-        # Adds up the few rows left of the group the cut falls into.
-        running = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        inside = (
-            inside.withColumn("_before", F.coalesce(F.sum(copies).over(running), F.lit(0)))
-            .where(F.col("_before") < left)
-            .withColumn(copies, F.least(F.col(copies), left - F.col("_before")))
-            .drop("_before")
-        )
-    return rows.where(F.col(key) < prefix).unionByName(inside) if prefix else inside
+    inside = rows.where(F.col(key).startswith(prefix)).orderBy(key).limit(left)
+    return rows.where(F.col(key) < prefix).unionByName(inside)

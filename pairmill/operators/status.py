@@ -1,8 +1,8 @@
 """Logs of polled job states: what changed, and how each job ended.
 
-Both need the observation before each one. A job polled for very long may hold a large part of
-all rows, so observations are ordered inside time chunks, which spread over tasks, and only one
-row per chunk takes part in the step across chunks.
+Both need the observation before each one. A job polled for very long or very often may hold a
+large part of all rows, so observations are ordered inside minutes, which spread over tasks; the
+ends of minutes are ordered inside days, and only the ends of days across them.
 """
 
 from __future__ import annotations
@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CHUNK_SECONDS = 86_400
+from pairmill.operators.neighbours import with_previous
+
+CHUNK_SECONDS = 60
+# Chunks in a chunk of the second level.
+SPAN_CHUNKS = 1440
 SUCCEEDED, FAILED, DEPLOY_FAILED = 1, 2, 3
 
 
@@ -33,28 +37,13 @@ def status_changes(observations: DataFrame, chunk_seconds: int = CHUNK_SECONDS)
     states = observations.select(
         "job", "observed_at", "seq",
         F.concat_ws("/", _shown("deploy_status"), _shown("job_status")).alias("state"),
-        _chunk(observations, chunk_seconds).alias("_chunk"),
     )
-    inside = Window.partitionBy("job", "_chunk").orderBy("observed_at", "seq")
-    last = F.max_by("state", F.struct("observed_at", "seq"))
-    carried = (
-        states.groupBy("job", "_chunk").agg(last.alias("_last"))
-        .select(
-            "job", "_chunk",
-            F.lag("_last").over(Window.partitionBy("job").orderBy("_chunk")).alias("_carried"),
-        )
-    )
-    previous = F.when(F.col("_rank") == 1, F.col("_carried")).otherwise(F.col("_previous"))
-    return (
-        states.withColumn("_previous", F.lag("state").over(inside))
-        .withColumn("_rank", F.row_number().over(inside))
-        # Inside a chunk the answer is already known; only its first row waits for the join.
-        .where((F.col("_rank") == 1) | (F.col("state") != F.col("_previous")))
-        .join(carried, ["job", "_chunk"], "left")
-        .withColumn("previous", previous)
-        .where(~F.col("state").eqNullSafe(F.col("previous")))
-        .select("job", "observed_at", "seq", "previous", "state")
+    seconds = (chunk_seconds, chunk_seconds * SPAN_CHUNKS)
+    changed = with_previous(
+        states, "job", ["observed_at", "seq"], [_chunk(observations, n) for n in seconds],
+        F.col("state"), wanted=lambda rows: rows.where(~F.col("state").eqNullSafe(F.col("previous"))),
     )
+    return changed.select("job", "observed_at", "seq", "previous", "state")
 
 
 def job_outcome(
@@ -64,8 +53,10 @@ def job_outcome(
 
     The first terminal observation decides, unless an earlier one was already past the deadline,
     ``timeout_seconds`` after the first observation. The job's own state is looked at before the
-    deployment's, and both before the clock.
+    deployment's, and both before the clock. Columns ``reason`` and ``message`` of the deciding
+    observation are returned if the log has them.
     """
+    told = [c for c in ("reason", "message") if c in observations.columns]
     job, deploy = F.col("job_status"), F.col("deploy_status")
     code = (
         F.when(job == "SUCCEEDED", SUCCEEDED)
@@ -73,10 +64,11 @@ def job_outcome(
         .when(deploy == "Failed", DEPLOY_FAILED)
     )
     rows = observations.select(
-        "job", "observed_at", "seq", code.alias("code"), _chunk(observations, chunk_seconds).alias("_chunk")
+        "job", "observed_at", "seq", code.alias("code"), *told,
+        _chunk(observations, chunk_seconds).alias("_chunk"),
     )
     inside = Window.partitionBy("job", "_chunk").orderBy("observed_at", "seq")
-    terminal = F.when(F.col("code").isNotNull(), F.struct("observed_at", "seq", "code", "_before"))
+    terminal = F.when(F.col("code").isNotNull(), F.struct("observed_at", "seq", "code", "_before", *told))
     chunks = (
         rows.withColumn("_before", F.lag("observed_at").over(inside))
         .groupBy("job", "_chunk")
@@ -86,14 +78,15 @@ def job_outcome(
             F.count(F.lit(1)).alias("observations"),
             F.min(terminal).alias("_terminal"),
         )
-        .withColumn("_carried", F.lag("last_at").over(Window.partitionBy("job").orderBy("_chunk")))
-        .withColumn("_before", F.coalesce("_terminal._before", "_carried"))
     )
+    chunks = with_previous(
+        chunks, "job", ["_chunk"], [F.expr(f"_chunk div {SPAN_CHUNKS}")], F.col("last_at")
+    ).withColumn("_before", F.coalesce("_terminal._before", "previous"))
     ended = F.when(
         F.col("_terminal").isNotNull(),
         F.struct(
             F.col("_terminal.observed_at").alias("at"), F.col("_terminal.code").alias("code"),
-            F.col("_before").alias("before"),
+            F.col("_before").alias("before"), *[F.col(f"_terminal.{c}") for c in told],
         ),
     )
     jobs = chunks.groupBy("job").agg(
@@ -111,4 +104,8 @@ def job_outcome(
         .when(F.col("_end.code") == DEPLOY_FAILED, "deploy_failed")
         .otherwise("running")
     )
-    return jobs.select("job", outcome.alias("outcome"), "observations", "first_at", "last_at")
+    decided = ~outcome.isin("timeout", "running")
+    return jobs.select(
+        "job", outcome.alias("outcome"), "observations", "first_at", "last_at",
+        *[F.when(decided, F.col(f"_end.{c}")).alias(c) for c in told],
+    )

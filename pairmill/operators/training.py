@@ -8,18 +8,38 @@ from pyspark.sql.window import Window
 
 from pairmill.config import IGNORED_LABEL
 
-# The offsets of all buckets of all epochs are broadcast; this bounds their number.
-MAX_BUCKETS = 1 << 21
-# Rows a bucket, which one task sorts, should not exceed while the bound above allows.
-BUCKET_ROWS = 100_000
+# Leading digest digits of a bucket: 4,096 buckets and as many offsets per epoch, however many
+# rows there are. A task sorts a bucket with spilling.
+BUCKET_DIGITS = 3
 
 
-def bucket_digits_for(rows: int, epochs: int) -> int:
-    """How many digest digits make buckets small enough for this many rows."""
-    digits = 1
-    while rows / 16**digits > BUCKET_ROWS and epochs * 16 ** (digits + 1) <= MAX_BUCKETS:
-        digits += 1
-    return digits
+def cut_padding(rows: DataFrame) -> DataFrame:
+    """Fixed-length rows without the padding behind the last attended token."""
+    used = F.size(F.filter("attention_mask", lambda m: m == 1))
+    short = {c: F.slice(c, F.lit(1), used) for c in ("input_ids", "labels")}
+    return rows.withColumns(
+        short
+        | {"_pad": F.element_at("input_ids", -1), "_length": F.size("input_ids")}
+    ).drop("attention_mask")
+
+
+def restore_padding(rows: DataFrame) -> DataFrame:
+    """The rows that ``cut_padding`` was given."""
+    used = F.size("input_ids")
+    missing = F.col("_length") - used
+
+    def fill(value: Column) -> Column:
+        return F.array_repeat(value.cast("bigint"), missing)
+
+    return rows.withColumns(
+        {
+            "attention_mask": F.concat(
+                F.array_repeat(F.lit(1).cast("bigint"), used), fill(F.lit(0))
+            ),
+            "input_ids": F.concat("input_ids", fill(F.col("_pad"))),
+            "labels": F.concat("labels", fill(F.lit(IGNORED_LABEL))),
+        }
+    ).drop("_pad", "_length")
 
 
 def batch_plan(
@@ -29,19 +49,20 @@ def batch_plan(
     num_workers: int = 2,
     batch_size: int = 4,
     seed: int = 42,
-    bucket_digits: int = 3,
+    bucket_digits: int = BUCKET_DIGITS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Adds (epoch, shard, batch, pos): a full shuffle per epoch, dealt out to the workers.
 
     The order of an epoch is that of ``md5(key:seed + epoch)``; it differs between epochs and is
     the same on every run. Positions come in two phases instead of one global sort: rows are
     numbered inside buckets, the leading digits of the digest, and shifted by the number of rows
-    in the buckets before. Digests are uniform, so no bucket is hot whatever the data. A shard is
-    a contiguous range of positions, so that one bucket feeds few output files; shard sizes
-    differ by at most one. The last batch of a shard may be short.
+    in the buckets before. Digests are uniform, so no bucket is hot whatever the data. With
+    ``partitions`` the rows are shuffled once into that many ranges of (epoch, bucket), which is
+    also what numbering needs; a shard is a contiguous range of positions, so a task holds few
+    shards and a shard gets few files. Shard sizes differ by at most one. The last batch of a
+    shard may be short.
     """
-    if epochs * 16**bucket_digits > MAX_BUCKETS:
-        raise ValueError("too many buckets to broadcast; lower bucket_digits or epochs")
     digest = F.md5(F.concat(F.col(key), F.lit(":"), (F.col("epoch") + seed).cast("string")))
     ordered = (
         rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
@@ -60,6 +81,8 @@ def batch_plan(
         )
     )
     inside = Window.partitionBy("epoch", "_bucket").orderBy("_digest", key)
+    if partitions:
+        ordered = ordered.repartitionByRange(partitions, "epoch", "_bucket")
     placed = (
         ordered.withColumn("_rank", F.row_number().over(inside) - 1)
         .join(F.broadcast(offsets), ["epoch", "_bucket"])

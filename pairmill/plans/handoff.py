@@ -9,12 +9,13 @@ from pairmill.config import TrainConfig
 from pairmill.errors import JobFailed
 from pairmill.operators.training import (
     batch_plan,
-    bucket_digits_for,
     checkpoint_select,
+    cut_padding,
     epoch_loss,
+    restore_padding,
     supervision_audit,
 )
-from pairmill.session import sized_shuffles
+from pairmill.session import SHUFFLE_BYTES
 from pairmill.sinks import publish as sink
 from pairmill.sources import versions
 
@@ -29,21 +30,25 @@ def write_batches(spark: SparkSession, config: TrainConfig, output: str) -> str:
     """Lays out the shuffled batches of every epoch and shard; returns the data version read.
 
     Files are partitioned by epoch and shard, in batch order, so a worker reads only its own.
+    Rows travel once, without their padding, into ranges of the shuffled order sized by the
+    tokens in them.
     """
     version = versions.resolve_data(spark, config.tokenized_dir)
     rows = versions.read_train(spark, version)
     audit = supervision_audit(rows).first()
     if audit["unsupervised_rows"]:
         raise JobFailed(f"{version} holds rows without a supervised token")
+    attended = rows.agg(F.sum(F.size(F.filter("attention_mask", lambda m: m == 1)))).first()[0]
+    # Two arrays of eight-byte numbers travel.
+    partitions = 1 + 16 * (attended or 0) * config.epochs // SHUFFLE_BYTES
     plan = batch_plan(
-        rows, epochs=config.epochs, num_workers=config.num_workers,
-        batch_size=config.batch_size, seed=config.seed,
-        bucket_digits=bucket_digits_for(audit["rows"], config.epochs),
+        cut_padding(rows), epochs=config.epochs, num_workers=config.num_workers,
+        batch_size=config.batch_size, seed=config.seed, partitions=partitions,
     )
-    laid_out = plan.sortWithinPartitions("epoch", "shard", "batch", "pos")
-    # Padding compresses well at rest but travels in full.
-    with sized_shuffles(rows, growth=8.0 * config.epochs):
-        laid_out.write.mode("errorifexists").partitionBy("epoch", "shard").parquet(output)
+    laid_out = restore_padding(plan.sortWithinPartitions("epoch", "shard", "batch", "pos"))
+    laid_out.select(
+        "epoch", "shard", "batch", "pos", *rows.columns
+    ).write.mode("errorifexists").partitionBy("epoch", "shard").parquet(output)
     return version
 
 
@@ -52,10 +57,7 @@ def checked_epoch_loss(steps: DataFrame, keys: tuple = ("run_id", "epoch")) -> D
     losses = epoch_loss(steps, keys)
     empty = losses.where(~F.col("valid")).orderBy(*keys).first()
     if empty:
-        raise JobFailed(
-            f"{dict(zip(keys, empty))} had no valid step ({empty['skipped_batches']} batches "
-            "skipped); check whether all labels are masked"
-        )
+        raise JobFailed(f"no finite loss in {dict(zip(keys, empty))}: are its labels all masked?")
     return losses
 
 

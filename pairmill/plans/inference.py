@@ -52,11 +52,21 @@ def run_inference(
         config.max_tokens, template, preprocess,
     )
     output = sink.claim_version(spark, config.output_root, f"v-{config.run_id}")
-    generated.write.mode("errorifexists").parquet(f"{output}/generated")
+    write_generated(generated, output)
     accept(spark, config, output, model, holdout)
     return output
 
 
+def write_generated(rows: DataFrame, output: str) -> None:
+    rows.select("instruction", "reference", "generated").write.mode("errorifexists").parquet(
+        f"{output}/generated"
+    )
+
+
+def read_report(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.schema(REPORT).json(f"{output}/acceptance")
+
+
 def read_generated(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.parquet(f"{output}/generated")
 

@@ -10,7 +10,6 @@ from pairmill.errors import JobFailed
 from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators.curate import collapse_pairs, holdout_size, split_holdout
 from pairmill.operators.encode import encode_sft
-from pairmill.operators.spread import spread
 from pairmill.session import scratch_path, sized_shuffles
 from pairmill.sinks import publish as sink
 from pairmill.sources import files, raw, versions
@@ -61,22 +60,21 @@ def _publish(spark, config, staged, tokenizer, template, lineage) -> str:
     eval_rows = min(total, holdout_size(total, config.eval_rows, config.eval_max_fraction))
     before = total - eval_rows
     if before == 0:
-        raise JobFailed("no training rows are left after the holdout; lower eval_rows or add data")
+        raise JobFailed(f"no training rows: the holdout takes all {total} pairs")
 
     deduped = collapsed.where(F.col("content_hash").isNotNull()).drop("copies")
     train, held_out = split_holdout(deduped, config.eval_rows, config.eval_max_fraction, total)
     version = sink.claim_version(spark, config.tokenized_root, f"v-{config.run_id}")
+    if config.tokenize_partitions:
+        train = train.repartition(config.tokenize_partitions)
     encoded = encode_sft(
-        spread(train), tokenizer, config.max_len, config.min_answer_tokens, template,
+        train, tokenizer, config.max_len, config.min_answer_tokens, template,
         keep=("content_hash",) if lineage else (),
     )
     sink.write_train(encoded, version)
     kept = versions.read_train(spark, version).count()
     if kept == 0:
-        raise JobFailed(
-            f"all {before} rows were rejected as too long; raise max_len "
-            f"(now {config.max_len}) or shorten the prompts"
-        )
+        raise JobFailed(f"every prompt is too long for max_len {config.max_len}")
 
     # Holdout, manifest and pointer follow only once the training rows are complete.
     sink.write_eval(held_out, version)

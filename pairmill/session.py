@@ -17,10 +17,12 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Texts can be long, so Arrow batches are kept short.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    # Open requests of a stream live on local disk with their changes logged, not on the heap.
+    # Open requests of a stream live on disk with their changes logged, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Lines of one request are combined on the map side before its session is shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # A JSON object naming a key twice is accepted and the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -61,10 +63,10 @@ def input_bytes(rows: DataFrame) -> int | None:
     return None if any(size >= 1 << 62 for size in sizes) else sum(sizes)
 
 
-# What one task of a shuffle should get, and the most partitions worth their bookkeeping: the
-# driver tracks every map task's output for each of them.
+# What one task of a shuffle should get, and the partitions for an input of unknown size: too many
+# are merged, too few cannot be split.
 SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 30_000
+UNKNOWN_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -77,7 +79,7 @@ def sized_shuffles(rows: DataFrame, growth: float = 1.0):
     """
     spark = rows.sparkSession
     size = input_bytes(rows)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, int((size or 0) * growth) // SHUFFLE_BYTES)
+    wanted = UNKNOWN_PARTITIONS if size is None else int(size * growth) // SHUFFLE_BYTES
     if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         yield
         return

@@ -17,7 +17,7 @@ def claim_version(spark: SparkSession, root: str, name: str) -> str:
     goes on.
     """
     version = f"{root.rstrip('/')}/{name}"
-    taken = f"{version} already exists; choose another run id instead of overwriting it"
+    taken = f"version {version} already exists"
     if files.exists(spark, version):
         raise JobFailed(taken)
     try:

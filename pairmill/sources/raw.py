@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairmill.functions import variants as V
+from pairmill.operators.neighbours import with_previous
 from pairmill.sources import files
 
 RAW_SCHEMA = T.StructType(
@@ -73,16 +74,27 @@ def seed_demo_data(spark: SparkSession, path: str, file_format: str = "json") ->
     demo_pairs(spark).coalesce(1).write.mode("append").format(file_format).save(path)
 
 
+# Turn numbers in a chunk, and in a chunk of chunks.
+CHUNK_TURNS, SPAN_TURNS = 64, 64 * 1024
+
+
 def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
-    """A user turn and the assistant turn numbered right behind it, as one pair.
+    """A user turn and the assistant turn that follows next, as one pair, whatever the numbers.
 
-    Turn numbers are unique within a conversation, so the join key is too: however long one
-    conversation is, its turns spread over all tasks.
+    The table is read and shuffled once; however long one conversation is, its turns spread over
+    tasks.
     """
-    asked = conversations.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("instruction")
+    turns = conversations.select("conv_id", "turn", "role", "text")
+
+    def answered(rows: DataFrame) -> DataFrame:
+        return rows.where((F.col("role") == "user") & (F.col("previous.role") == "assistant"))
+
+    followed = with_previous(
+        turns, "conv_id", ["turn"],
+        [F.expr(f"turn div {CHUNK_TURNS}"), F.expr(f"turn div {SPAN_TURNS}")],
+        F.struct("role", "text"), backwards=True, wanted=answered,
     )
-    answered = conversations.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    return followed.select(
+        "conv_id", "turn", F.col("text").alias("instruction"),
+        F.col("previous.text").alias("response"),
     )
-    return asked.join(answered, ["conv_id", "turn"])

@@ -2,107 +2,29 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pairmill.config import MIN_STREAM_SPAN_US, TRANSFER_LIMIT_S
-from pairmill.functions import events as E
-from pairmill.operators.audits import PREVIEW_CHARS, REPORT_COLUMNS, preview_of, verdict
-from pairmill.session import ship_package
-
-TOTALS = (
-    "request_id string, transfer_rc int, bad_kind int, done boolean, chunks bigint, "
-    "chars bigint, protocol_frames bigint, span_us bigint, head string"
-)
-# What is kept of an open request: counts, extremes and the pieces its preview may need.
-STATE = (
-    "transfer_rc int, bad_seq bigint, bad_kind int, done boolean, chunks bigint, chars bigint, "
-    "protocol_frames bigint, first_us bigint, last_us bigint, opened_us bigint, head string"
-)
-NEW = (None, None, None, False, 0, 0, 0, None, None, None, "[]")
-# A line travels to Python as one text column, its fields in this order: handing a group over
-# costs more per column than the lines themselves.
-LINE = ("seq", "arrived_us", "kind", "chunks", "chars", "transfer_rc", "text")
-REPORT = [column.split()[0] for column in TOTALS.split(", ")]
-
-
-def _add(state: tuple, lines: pd.DataFrame) -> tuple:
-    """The state after some more lines of the request, in whatever order they come."""
-    rc, bad_seq, bad_kind, done, chunks, chars, frames, first, last, opened, head = state
-    pieces = json.loads(head)
-    for line in lines["line"]:
-        *numbers, code, text = line.split("|", len(LINE) - 1)
-        seq, at, kind, pieces_in, size = map(int, numbers)
-        opened = at if opened is None else min(opened, at)
-        if code:
-            rc = int(code) if rc is None else max(rc, int(code))
-        if kind == E.CONTENT:
-            chunks += pieces_in
-            chars += size
-            first = at if first is None else min(first, at)
-            last = at if last is None else max(last, at)
-            pieces.append([seq, text])
-        elif kind == E.DONE:
-            done = True
-        elif kind == E.PROTOCOL:
-            frames += 1
-        elif kind != E.IGNORED and (bad_seq is None or seq < bad_seq):
-            bad_seq, bad_kind = seq, kind
-    # Content is never empty, so this many pieces always hold the preview.
-    head = json.dumps(sorted(pieces)[:PREVIEW_CHARS])
-    return rc, bad_seq, bad_kind, done, chunks, chars, frames, first, last, opened, head
-
-
-def _follow(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Emits a request's totals on its close row, or at its deadline without one."""
-    current = tuple(state.get) if state.exists else NEW
-    for lines in batches:
-        current = _add(current, lines)
-    rc, _, bad_kind, done, chunks, chars, frames, first, last, opened, head = current
-    if rc is None and not state.hasTimedOut:
-        deadline_ms = opened // 1000 + TRANSFER_LIMIT_S * 1000
-        state.update(current)
-        state.setTimeoutTimestamp(max(deadline_ms, state.getCurrentWatermarkMs() + 1))
-        return
-    if state.exists:
-        state.remove()
-    text = "".join(piece for _, piece in json.loads(head)) if chunks else None
-    span = None if first is None else last - first
-    row = (key[0], rc, bad_kind, done, chunks, chars, frames, span, text)
-    yield pd.DataFrame([row], columns=REPORT, dtype=object)
+from pairmill.functions.events import classify_lines
+from pairmill.operators.audits import REPORT_COLUMNS, narrow_events, total_columns, verdict
 
 
 def live_stream_audit(
-    lines: DataFrame, lateness: str = "10 minutes", min_span_us: int = MIN_STREAM_SPAN_US
+    lines: DataFrame, lateness: str = "10 minutes", min_span_us: int = MIN_STREAM_SPAN_US,
+    transfer_limit_s: int = TRANSFER_LIMIT_S,
 ) -> DataFrame:
-    """Judges requests of a streaming log as they end.
-
-    Lines are parsed and classified by built-in expressions; Python only keeps per request the
-    few numbers a verdict needs. State lives until the close row, which is a request's last, or
-    until the watermark passes the transfer limit after the request's first line; a request
-    without a close row counts as a failed transfer. ``lateness`` is how much later than the
-    newest line a line may come.
+    """One report per request of a streaming log, as soon as nothing of it can come any more.
+
+    A request is a session: its lines are never further apart than one transfer may take, so the
+    report is final, and emitted, once the watermark has passed the last line by that limit. Lines
+    may come in any order and up to ``lateness`` behind the newest one; later ones are dropped.
+    State is one row of counts per open request, in the JVM; a hot request is combined before the
+    shuffle where sessions are merged locally, as the session settings ask for. A report without
+    a close row is a failed transfer. The beginnings of the texts are no part of the state:
+    ``stream_previews`` reads them from the log for the requests that need them.
     """
-    ship_package(lines.sparkSession)
-    events = E.classify_lines(lines.withWatermark("arrived_at", lateness))
-    fields = {
-        "arrived_us": F.unix_micros("arrived_at"),
-        "chars": F.coalesce(F.length("text"), F.lit(0)),
-        "transfer_rc": F.coalesce(F.col("transfer_rc").cast("string"), F.lit("")),
-        "text": F.coalesce(F.substring("text", 1, PREVIEW_CHARS), F.lit("")),
-    }
-    packed = F.concat_ws("|", *[fields.get(name, F.col(name)) for name in LINE])
-    narrow = events.select("request_id", "arrived_at", packed.alias("line"))
-    totals = narrow.groupBy("request_id").applyInPandasWithState(
-        _follow, TOTALS, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return totals.withColumn("verdict", verdict(min_span_us)).select(
-        *REPORT_COLUMNS, preview_of(F.col("head")).alias("preview")
-    )
+    events = narrow_events(classify_lines(lines.withWatermark("arrived_at", lateness)))
+    session = F.session_window("arrived_at", f"{transfer_limit_s} seconds")
+    totals = events.groupBy("request_id", session).agg(*total_columns())
+    return totals.withColumn("verdict", verdict(min_span_us)).select(*REPORT_COLUMNS)

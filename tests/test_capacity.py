@@ -48,7 +48,8 @@ def test_findings(spark, row, findings):
     assert capacity.capacity_findings(accounted(spark, [row])).first()["findings"] == findings
 
 
-def test_model_table_is_bounded(spark):
-    many = spark.range(capacity.MAX_MODELS + 1).selectExpr("string(id) AS model")
-    with pytest.raises(ValueError):
-        capacity.capacity_accounting(table(spark, [], CONFIG), many)
+def test_numbers_behind_a_finding(spark):
+    row = ("qwen3-8b", 80, 0.85, 1, 4096, 32, 64)
+    got = capacity.capacity_findings(accounted(spark, [row])).first()
+    assert got["reserved_bytes"] == 68e9 and got["weight_bytes"] == 16_381_470_720
+    assert got["sequence_bytes"] == 147456 * 4096 and round(got["target_ratio"], 2) == 2.67

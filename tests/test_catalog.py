@@ -10,32 +10,34 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 import __spark_entry__ as entry
 from compare import connect, normal
 
+from pairmill.catalog.oracle import ORACLE
+from pairmill.catalog.queries import QUERIES
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, name):
-    frame = entry.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     got = normal(frame.collect(), frame.columns)
     assert got
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    if name in entry.oracle_sql():
-        relation = connect(SF).sql(entry.oracle_sql()[name])
-        assert sorted(frame.columns) == sorted(relation.columns)
-        assert got == normal(relation.fetchall(), relation.columns)
+    relation = connect(SF).sql(ORACLE[name])
+    assert sorted(frame.columns) == sorted(relation.columns)
+    assert got == normal(relation.fetchall(), relation.columns)
 
 
 @pytest.mark.parametrize(
     "name", ["exact_dedup", "holdout_keys", "batch_plan", "stream_audit", "job_outcome"]
 )
 def test_same_result_under_other_partitioning(spark, name):
-    before = [tuple(map(str, r)) for r in entry.queries()[name](spark, SF).collect()]
+    before = [tuple(map(str, r)) for r in QUERIES[name](spark, SF).collect()]
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        after = [tuple(map(str, r)) for r in entry.queries()[name](spark, SF).collect()]
+        after = [tuple(map(str, r)) for r in QUERIES[name](spark, SF).collect()]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -46,6 +48,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_every_query_but_the_tokenizer_ones_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) <= {"tokenize_bpe", "encode_sft_bpe"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())

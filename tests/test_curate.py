@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from conftest import collected, table
@@ -65,19 +66,44 @@ def test_smallest_by_counting_equals_sorting(spark, n):
     assert [r[0] for r in got.orderBy("key").collect()] == digests[:n]
 
 
-@pytest.mark.parametrize("n", [1, 30, 333, 334, 900, 1200])
-def test_smallest_with_one_key_holding_a_third(spark, n):
-    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(200)]
-    copies = {k: 3 for k in keys} | {keys[17]: 330}
-    rows = table(spark, list(copies.items()), "key string, copies bigint")
-    whole = [k for k in sorted(keys) for _ in range(copies[k])][:n]
-    got = smallest(rows, "key", n, "copies", in_one_task=5)
-    assert collected(got) == sorted((k, whole.count(k)) for k in set(whole))
-
-
 def test_invariants_notice_a_row_on_both_sides(spark):
     rows = spark.range(20).select(F.sha2(F.col("id").cast("string"), 256).alias("content_hash"))
     train, held_out = curate.split_holdout(rows)
     assert tuple(curate.split_invariants(rows, train, held_out).first()) == (20, 15, 5, 0, 0)
     broken = curate.split_invariants(rows, train.unionByName(held_out.limit(1)), held_out).first()
     assert (broken["in_both"], broken["not_covered"]) == (1, 1)
+
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def by_hand(rows):
+    pairs, ordered = [], sorted(rows, key=lambda r: (r[0], r[1]))
+    for one, two in zip(ordered, ordered[1:]):
+        if one[0] == two[0] and (one[2], two[2]) == ("user", "assistant"):
+            pairs.append((one[0], one[1], one[3], two[3]))
+    return sorted(pairs)
+
+
+def test_pairs_follow_the_next_turn_across_gaps_and_chunks(spark):
+    draw = random.Random(5)
+    rows = [(0, 0, "user", "q"), (0, 2, "assistant", "a"), (1, 0, "assistant", "x"), (1, 9, "user", "y")]
+    for conv in range(2, 12):
+        turn = 0
+        # One conversation holds most rows; steps cross chunks of both sizes.
+        for i in range(3000 if conv == 2 else 30):
+            rows.append((conv, turn, draw.choice(["user", "assistant", "system"]), f"{conv}:{i}"))
+            turn += draw.choice([1, 1, 2, 63, 64, 65, raw.CHUNK_TURNS * 40, raw.SPAN_TURNS])
+    draw.shuffle(rows)
+    pairs = raw.pairs_from_conversations(table(spark, rows, TURNS))
+    got = pairs.select("conv_id", "turn", "instruction", "response")
+    assert collected(got) == by_hand(rows)
+
+
+def test_pairs_read_and_shuffle_the_turns_once(spark, folder):
+    table(spark, [(0, 0, "user", "q")], TURNS).write.parquet(folder)
+    pairs = raw.pairs_from_conversations(spark.read.parquet(folder))
+    pairs.collect()
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

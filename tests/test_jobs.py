@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import sys
 
@@ -261,7 +262,7 @@ def test_epoch_without_a_valid_step_fails(spark):
     schema = "run_id string, epoch int, rank int, loss double"
     got = handoff.checked_epoch_loss(table(spark, rows, schema)).first()
     assert (got["loss"], got["steps"], got["skipped_batches"]) == (1.5, 2, 2)
-    with pytest.raises(JobFailed, match="no valid step"):
+    with pytest.raises(JobFailed, match="no finite loss"):
         handoff.checked_epoch_loss(table(spark, rows + [("r", 1, 0, nan), ("r", 1, 0, inf)], schema))
 
 
@@ -271,7 +272,7 @@ def test_jobs_from_the_environment(spark, folder, monkeypatch, capsys):
     monkeypatch.setenv("MAX_LEN", "200")
     monkeypatch.setenv("EVAL_MAX_FRACTION", "0.5")
     monkeypatch.setenv("BATCHES_DIR", f"{folder}/batches")
-    monkeypatch.setenv("GENERATOR", "pairmill.catalog.queries:echo_model")
+    monkeypatch.setenv("GENERATOR", f"{__name__}:good_model")
     monkeypatch.setenv("MAX_EMPTY_FRACTION", "1.0")
     jobs.main("prepare")
     version = f"{folder}/data/tokenized/v-env"
@@ -281,3 +282,92 @@ def test_jobs_from_the_environment(spark, folder, monkeypatch, capsys):
     files.write_text(spark, f"{folder}/models/weights", "x")
     jobs.main("infer")
     assert capsys.readouterr().out.split() == [version, version, f"{folder}/outputs/batch/v-env"]
+
+
+def run_job(spark, monkeypatch, job, **settings):
+    for name, value in settings.items():
+        monkeypatch.setenv(name, str(value))
+    return jobs.JOBS[job](spark)
+
+
+START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+LOGS = {
+    "audit-streams": (
+        "request_id string, seq bigint, arrived_at timestamp, line string, transfer_rc int",
+        [("a", 0, START, 'data: {"choices":[{"delta":{"content":"x"}}]}', None),
+         ("a", 1, START, "data: [DONE]", None), ("a", 2, START, None, 0)],
+        [("b", 0, START, "data: {", None), ("b", 1, START, None, 0)], "verdict", "unparseable",
+    ),
+    "audit-responses": (
+        "id int, body string",
+        [(1, '{"choices":[{"message":{"content":"x"},"finish_reason":"stop"}]}')],
+        [(2, '{"error":1}')], "reason", "error",
+    ),
+    "audit-models": (
+        "id int, body string", [(1, '{"data":[{"id":"m"}]}')], [(2, '{"data":[]}')], "listed", False,
+    ),
+    "status": (
+        "job string, observed_at timestamp, seq bigint, deploy_status string, job_status string, "
+        "reason string, message string",
+        [("a", START, 0, "Complete", "SUCCEEDED", None, None)],
+        [("b", START, 0, "Complete", "FAILED", "AppFailed", "out of memory")], "outcome", "failed",
+    ),
+    "capacity": (
+        "model string, card_gb int, gpu_memory_utilization double, tensor_parallel_size int, "
+        "max_model_len int, target_ongoing_requests int, max_ongoing_requests int",
+        [("qwen3-8b", 80, 0.85, 1, 4096, 32, 64)], [("qwen3-8b", 16, 0.85, 1, 4096, 32, 64)],
+        "findings", ["weights_exceed_memory"],
+    ),
+}
+
+
+@pytest.mark.parametrize("job", LOGS)
+def test_audit_jobs_report_and_then_fail(spark, folder, monkeypatch, job):
+    schema, good, failing, column, found = LOGS[job]
+    table(spark, good, schema).write.parquet(f"{folder}/good")
+    table(spark, good + failing, schema).write.parquet(f"{folder}/all")
+    monkeypatch.setenv("MODEL_ID", "m")
+    out = run_job(spark, monkeypatch, job, LOG_PATH=f"{folder}/good", REPORT_PATH=f"{folder}/r1")
+    assert spark.read.parquet(out).count() == 1
+    with pytest.raises(JobFailed, match="1 rows"):
+        run_job(spark, monkeypatch, job, LOG_PATH=f"{folder}/all", REPORT_PATH=f"{folder}/r2")
+    assert found in [r[column] for r in spark.read.parquet(f"{folder}/r2").collect()]
+    run_job(
+        spark, monkeypatch, job, LOG_PATH=f"{folder}/all", REPORT_PATH=f"{folder}/r3", MAX_FAILING=1
+    )
+
+
+def test_limits_of_the_stream_audit_are_settings(spark, folder, monkeypatch):
+    def line(i, ms, text):
+        frame = json.dumps({"choices": [{"delta": {"content": text}}]})
+        return ("a", i, START + dt.timedelta(milliseconds=ms), f"data: {frame}", None)
+
+    rows = [line(0, 0, "x"), line(1, 50, "y"), ("a", 2, START, "data: [DONE]", None), ("a", 3, START, None, 0)]
+    table(spark, rows, LOGS["audit-streams"][0]).write.parquet(f"{folder}/log")
+    with pytest.raises(JobFailed, match="buffered"):
+        run_job(spark, monkeypatch, "audit-streams", LOG_PATH=f"{folder}/log", REPORT_PATH=f"{folder}/r1")
+    run_job(
+        spark, monkeypatch, "audit-streams", LOG_PATH=f"{folder}/log", REPORT_PATH=f"{folder}/r2",
+        MIN_STREAM_SPAN=0.04,
+    )
+
+
+def test_export_job_publishes_the_best_checkpoint(spark, folder, monkeypatch):
+    prepare(spark, config(folder), some_pairs(spark))
+    rows = [("r", 0, 2.0, "c0"), ("r", 1, 1.0, "c1"), ("other", 0, 0.1, "x")]
+    table(spark, rows, "run_id string, epoch int, loss double, checkpoint string").write.parquet(
+        f"{folder}/checkpoints"
+    )
+    out = run_job(
+        spark, monkeypatch, "export", CHECKPOINTS_PATH=f"{folder}/checkpoints", RUN_ID="r",
+        TOKENIZED_DIR=f"{folder}/data", MODEL_ROOT=f"{folder}/models",
+    )
+    version, checkpoint = out.split(" ")
+    assert checkpoint == "c1" and versions.resolve(spark, f"{folder}/models") == version
+    record = spark.read.json(f"{version}/provenance").first()
+    assert record["data_rows"] == 30 and record["metrics"]["loss"] == 1.0
+
+
+def test_tokenizing_concurrency_is_a_setting(spark, folder):
+    version = prepare(spark, config(folder, tokenize_partitions=3), some_pairs(spark))
+    assert versions.read_train(spark, version).count() == 30

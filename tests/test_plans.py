@@ -4,7 +4,7 @@ from conftest import table
 
 from pairmill.functions.events import classify_lines
 from pairmill.functions.tokens import CodepointTokenizer
-from pairmill.operators import audits, curate, encode, training
+from pairmill.operators import audits, curate, encode, gate, training
 
 PAIRS = [(f"q{i}", f"a{i}") for i in range(50)]
 LINES = "request_id string, seq bigint, arrived_at timestamp, line string, transfer_rc int"
@@ -46,17 +46,22 @@ def test_dedup_combines_before_its_one_shuffle(spark):
 
 
 def test_stream_totals_are_hashed_and_combined(spark):
-    events = classify_lines(table(spark, [], LINES))
+    events = audits.narrow_events(classify_lines(table(spark, [], LINES)))
     text = plan(audits.stream_totals(events))
-    assert "SortAggregate" not in text and "partial_sum" in text
+    assert "partial_sum" in text and text.count("Exchange") <= 2
     assert text.count("parseJson") <= 3
 
 
-def test_preview_limits_before_its_shuffle(spark):
-    text = plan(audits.stream_previews(classify_lines(table(spark, [], LINES))))
-    assert text.count("WindowGroupLimit") == 2
-    # No filter repeats the parsing.
-    assert text.count("parseJson") <= 3
+def test_the_log_is_parsed_once_for_report_and_preview(spark):
+    text = plan(audits.stream_audit(table(spark, [], LINES)))
+    # What is left reads the written events.
+    assert "parseJson" not in text and text.count("WindowGroupLimit") == 2
+
+
+def test_a_sample_does_not_shuffle_all_keys(spark):
+    rows = table(spark, [("q", "a", "a")], "instruction string, reference string, generated string")
+    text = plan(gate.accept_sample(rows, 5))
+    assert "TakeOrderedAndProject" in text and "hashpartitioning" not in text
 
 
 def test_batch_plan_has_no_global_sort(spark, folder):

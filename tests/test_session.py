@@ -1,8 +1,6 @@
 import pytest
-from conftest import table
 
 from pairmill import session
-from pairmill.operators.spread import spread
 
 PARTITIONS = session.INITIAL_PARTITIONS
 
@@ -45,16 +43,7 @@ def test_shuffles_are_sized_by_the_input(spark, folder, monkeypatch):
     assert spark.conf.get(PARTITIONS, None) == before
 
 
-def test_only_a_small_input_is_spread(spark, folder):
-    spark.range(100).coalesce(1).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    assert "Exchange" in spread(rows)._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
-    try:
-        assert spread(rows) is rows
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    many = f"{folder}-many"
-    spark.range(100).repartition(8).write.parquet(many)
-    rows = spark.read.parquet(many)
-    assert spread(rows) is rows
+def test_an_input_of_unknown_size_gets_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(session, "input_bytes", lambda rows: None)
+    with session.sized_shuffles(spark.range(1)):
+        assert int(spark.conf.get(PARTITIONS)) == session.UNKNOWN_PARTITIONS

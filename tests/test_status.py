@@ -1,9 +1,12 @@
 import datetime as dt
 import random
 
+import duckdb
+import pandas as pd
 import pytest
 from conftest import collected, table
 
+from pairmill.catalog.oracle import OBSERVATIONS, ORACLE
 from pairmill.operators import status
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -41,28 +44,19 @@ def rows_of(jobs):
     ]
 
 
-def poll(seen, timeout):
-    """One job's observations walked through in order."""
-    for t, deploy, job in seen:
-        if job == "SUCCEEDED":
-            return "success"
-        if job in ("FAILED", "STOPPED"):
-            return "failed"
-        if deploy == "Failed":
-            return "deploy_failed"
-        if t > seen[0][0] + timeout:
-            return "timeout"
-    return "running"
-
-
-def walk(seen):
-    changes, last = [], None
-    for i, (t, deploy, job) in enumerate(seen):
-        state = f"{deploy or '?'}/{job or '?'}"
-        if state != last:
-            changes.append((i, last, state))
-            last = state
-    return changes
+def by_sql(name, rows):
+    """The registered SQL over these observations."""
+    observations = pd.DataFrame(  # noqa: F841
+        [(j, t.replace(tzinfo=None), i, d, s, None, None) for j, t, i, d, s in rows],
+        columns=["job", "observed_at", "seq", "deploy_status", "job_status", "reason", "message"],
+    )
+    observations = observations.astype(
+        {c: "string" for c in ("job", "deploy_status", "job_status", "reason", "message")}
+    )
+    connection = duckdb.connect()
+    connection.register("observations", observations)
+    sql = ORACLE[name].replace(f"{OBSERVATIONS},", "").replace("43200", str(TIMEOUT))
+    return connection.sql(sql).fetchall()
 
 
 def random_jobs():
@@ -88,19 +82,40 @@ def random_jobs():
 def test_outcomes(spark, chunk):
     got = status.job_outcome(table(spark, rows_of(JOBS), SCHEMA), TIMEOUT, chunk)
     assert dict(collected(got.select("job", "outcome"))) == OUTCOMES
-    jobs = random_jobs()
-    got = status.job_outcome(table(spark, rows_of(jobs), SCHEMA), TIMEOUT, chunk)
-    assert dict(collected(got.select("job", "outcome"))) == {
-        job: poll(seen, TIMEOUT) for job, seen in jobs.items()
-    }
-    assert {r["job"]: r["observations"] for r in got.collect()} == {j: len(s) for j, s in jobs.items()}
+    rows = rows_of(random_jobs())
+    got = status.job_outcome(table(spark, rows, SCHEMA), TIMEOUT, chunk)
+    assert collected(got.select("job", "outcome", "observations")) == sorted(
+        r[:3] for r in by_sql("job_outcome", rows)
+    )
+
+
+def test_outcomes_tell_why(spark):
+    rows = [(*r, f"r{r[2]}", f"m{r[2]}") for r in rows_of(JOBS)]
+    log = table(spark, rows, SCHEMA + ", reason string, message string")
+    got = {r["job"]: (r["reason"], r["message"]) for r in status.job_outcome(log, TIMEOUT).collect()}
+    assert got["failed"] == ("r1", "m1") and got["success"] == ("r2", "m2")
+    assert got["timeout"] == got["running"] == (None, None)
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 60, 100_000])
 def test_changes(spark, chunk):
-    jobs = JOBS | random_jobs()
-    got = status.status_changes(table(spark, rows_of(jobs), SCHEMA), chunk)
-    by_job = {}
-    for r in got.orderBy("job", "seq").collect():
-        by_job.setdefault(r["job"], []).append((r["seq"], r["previous"], r["state"]))
-    assert by_job == {job: walk(seen) for job, seen in jobs.items()}
+    rows = rows_of(JOBS | random_jobs())
+    got = status.status_changes(table(spark, rows, SCHEMA), chunk)
+    key = ("job", "seq", "previous", "state")
+    assert sorted(map(str, collected(got.select(*key)))) == sorted(
+        str((r[0], r[2], r[3], r[4])) for r in by_sql("status_changes", rows)
+    )
+
+
+def test_changes_of_a_job_with_a_third_of_all_rows_in_one_day(spark):
+    rows = [
+        ("hot", START + dt.timedelta(seconds=8 * i), i, "Running", "RUNNING" if i % 900 else "")
+        for i in range(9000)
+    ]
+    got = status.status_changes(table(spark, rows, SCHEMA))
+    assert sorted(map(str, collected(got.select("job", "seq", "previous", "state")))) == sorted(
+        str((r[0], r[2], r[3], r[4])) for r in by_sql("status_changes", rows)
+    )
+    # Rows are dealt by minute, so the job's rows are in many tasks.
+    shuffled = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(job" in shuffled and "_level0" in shuffled

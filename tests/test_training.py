@@ -30,13 +30,28 @@ def test_batch_plan(spark, n, workers, size, digits):
     assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
 
 
-def test_bucket_bound(spark):
-    rows = table(spark, [("a",)], "content_hash string")
-    with pytest.raises(ValueError):
-        training.batch_plan(rows, epochs=300, bucket_digits=4)
-    sizes = [1, 10**6, 10**9, 10**11, 10**13]
-    assert [training.bucket_digits_for(n, 2) for n in sizes] == [1, 1, 4, 5, 5]
-    assert training.bucket_digits_for(10**13, 300) == 3
+def test_ranges_give_the_same_plan_in_one_shuffle(spark):
+    keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(97)]
+    rows = table(spark, [(k,) for k in keys], "content_hash string")
+    plan = training.batch_plan(rows, num_workers=3, partitions=5)
+    assert collected(plan) == brute_plan(keys, 2, 3, 4)
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Of the rows; the other shuffles are those of the bucket counts.
+    assert text.count("Exchange rangepartitioning") == 1 and "SinglePartition" not in text
+
+
+def test_padding_is_cut_and_restored(spark):
+    rows = [
+        ("a", [5, 6, 9, 0, 0], [1, 1, 1, 0, 0], [-100, 6, 9, -100, -100]),
+        ("b", [5, 6, 7, 8, 9], [1, 1, 1, 1, 1], [-100, -100, -100, 8, 9]),
+        ("c", [9, 9, 9, 9, 9], [1, 0, 0, 0, 0], [9, -100, -100, -100, -100]),
+    ]
+    kinds = "key string, input_ids array<bigint>, attention_mask array<bigint>, labels array<bigint>"
+    frame = table(spark, rows, kinds)
+    cut = training.cut_padding(frame)
+    assert sorted(len(r["labels"]) for r in cut.collect()) == [1, 3, 5]
+    back = training.restore_padding(cut).select(*frame.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
 def test_supervision(spark):
