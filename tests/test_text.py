@@ -56,8 +56,9 @@ def test_truthiness(spark):
 
 def test_guarded_json_is_exactly_one_value(spark):
     cases = {"{}": True, " [1] ": True, "{} x": False, '{"a":1}{"b":2}': False, "": False,
-             "1,0": False, "1": True, "[1": False, "{'a':1}": False}
+             "1,0": False, "1": True, "[1": False, "{'a':1}": False,
+             '{"choices":[]},0]': False, "{},0] x": False, "{} , 0.0 ]": False, '{},"0"]': False}
     rows = table(spark, [(c,) for c in cases], "t string").select(
-        "t", V.is_complete(V.parse_guarded(F.col("t")))
+        "t", V.is_complete(V.parse_guarded(F.col("t")), F.col("t"))
     )
     assert {t: v for t, v in rows.collect()} == cases
