@@ -207,11 +207,13 @@ def _mapped(rows: DataFrame, schema: str, function, most: int) -> DataFrame:
 
 
 def candidate_sets(
-    source: DataFrame, members: DataFrame, n: int, percent: int, root: str
+    source: DataFrame, classes: DataFrame, total: int | None, n: int, percent: int, root: str
 ) -> DataFrame | None:
-    """(key, size, shingles) of the sets that share enough shingles with others to be linked."""
+    """(key, size, shingles) of the sets that share enough shingles with others to be linked.
+
+    ``classes`` names a document of each set, ``total`` is the number of shingles in all.
+    """
     spark = source.sparkSession
-    total = members.agg(F.sum("size")).first()[0]
     if not total:
         return None
     buckets = min(1 << 16, math.ceil(total / BUCKET_SHINGLES) + 1)
@@ -234,9 +236,7 @@ def candidate_sets(
     enough = counted.groupBy("range").applyInArrow(lambda t: _enough(t, percent), "key long")
     enough.write.parquet(f"{root}/enough")
     enough = spark.read.parquet(f"{root}/enough")
-    ids = (
-        members.join(enough, "key").groupBy("key").agg(F.min("_id").alias("_id")).select("_id")
-    )
+    ids = classes.join(enough, "key").select(F.col("first").alias("_id"))
     if enough.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
 
@@ -531,8 +531,12 @@ def jaccard_components(
     )
     members = spark.read.parquet(f"{root}/members")
     filled = members.where("size > 0")
-    classes = filled.groupBy("key").agg(F.min("_id").alias("first"))
-    sets = candidate_sets(source, filled, n, percent, root)
+    # One row per set from here on, whatever a class holds. Written, so that a join with all
+    # members is a plain one whose hot keys Spark can split.
+    filled.groupBy("key").agg(F.min("_id").alias("first")).write.parquet(f"{root}/classes")
+    classes = spark.read.parquet(f"{root}/classes")
+    total = filled.agg(F.sum("size")).first()[0]
+    sets = candidate_sets(source, classes, total, n, percent, root)
     if sets is not None:
         lists = rare_shingles(sets, percent, root)
         boundary = choose_boundary(sets, lists, percent)
@@ -544,9 +548,10 @@ def jaccard_components(
         named = found.withColumnRenamed("node", "key").join(classes, "key")
         least = named.groupBy("component").agg(F.min("first").alias("least"))
         linked = named.join(least, "component").select("key", "least")
-        classes = classes.join(linked, "key", "left").select(
+        classes.join(linked, "key", "left").select(
             "key", F.coalesce("least", "first").alias("component_id")
-        )
+        ).write.parquet(f"{root}/named")
+        classes = spark.read.parquet(f"{root}/named")
     else:
         classes = classes.withColumnRenamed("first", "component_id")
     placed = members.join(
