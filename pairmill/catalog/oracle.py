@@ -339,6 +339,10 @@ SELECT run_id, epoch, checkpoint,
 FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY loss IS NULL, loss,
                 CASE WHEN loss IS NULL THEN -epoch ELSE epoch END) AS place FROM checkpoints)
 WHERE place = 1""",
+    "export_provenance": f"""WITH {encoded(256, PREPARED)}, {LOSSES}
+SELECT CAST(run_id AS VARCHAR) AS run_id, (SELECT count(*) FROM encoded) AS data_rows,
+       'best-by-loss' AS checkpoint_selection, loss
+FROM checkpoints WHERE loss IS NOT NULL ORDER BY loss, run_id LIMIT 1""",
     "response_audit": f"""WITH bodies AS (
   SELECT conv_id, turn,
          CASE conv_id % 6

@@ -11,7 +11,7 @@ from pairmill.config import GenConfig, PrepConfig, TrainConfig
 from pairmill.functions import text
 from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators import audits, capacity, curate, encode, gate, generate, status, training
-from pairmill.plans import inference
+from pairmill.plans import handoff, inference
 from pairmill.plans.handoff import write_batches
 from pairmill.plans.prepare import prepare, read_manifest
 from pairmill.session import scratch_path
@@ -319,6 +319,22 @@ def checkpoint_select(spark, sf_dir):
     return training.checkpoint_select(checkpoints(spark, sf_dir)).drop("loss")
 
 
+@query
+def export_provenance(spark, sf_dir):
+    """The run with the lowest loss published as a model version, read back from its record."""
+    root = _published(spark, sf_dir)
+    data = versions.resolve_data(spark, root)
+    best = checkpoints(spark, sf_dir).where("loss IS NOT NULL").orderBy("loss", "run_id").first()
+    config = TrainConfig(root, f"{root}/models", run_id=str(best["run_id"]))
+    version, _ = handoff.export_run(
+        spark, config, checkpoints(spark, sf_dir), data, {"loss": best["loss"]}
+    )
+    record = handoff.read_provenance(spark, version)
+    return record.select(
+        "run_id", "data_rows", "checkpoint_selection", F.col("metrics")["loss"].alias("loss")
+    )
+
+
 # Audits.
 
 

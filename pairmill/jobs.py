@@ -32,7 +32,7 @@ from pairmill.operators.gate import preview  # noqa: E402
 from pairmill.plans.handoff import export_run, write_batches  # noqa: E402
 from pairmill.plans.inference import check_context, read_generated, run_inference  # noqa: E402
 from pairmill.plans.prepare import prepare  # noqa: E402
-from pairmill.session import build_session  # noqa: E402
+from pairmill.session import build_session, clear_scratch  # noqa: E402
 from pairmill.sources import versions  # noqa: E402
 
 
@@ -125,7 +125,10 @@ JOBS = {
 
 def main(job: str) -> None:
     spark = build_session(f"pairmill {job}")
-    print(JOBS[job](spark))
+    try:
+        print(JOBS[job](spark))
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

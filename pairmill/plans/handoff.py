@@ -94,3 +94,7 @@ def export_run(
     sink.write_record(spark, provenance, PROVENANCE, f"{version}/provenance")
     sink.publish(spark, version)
     return version, chosen["checkpoint"]
+
+
+def read_provenance(spark: SparkSession, version: str) -> DataFrame:
+    return spark.read.schema(PROVENANCE).json(f"{version}/provenance")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -38,22 +40,36 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 _local_scratch: list[str] = []
+ONE_MACHINE = re.compile(r"local(\[.*\])?$")
 
 
-def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new path below the shared folder the cluster names for checkpoints.
-
-    Intermediate tables are written there, not kept on executors, so they outlive the loss of any
-    executor. Only a local session may fall back to a temporary folder of this machine.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps intermediate tables."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not ONE_MACHINE.match(spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if not _local_scratch:
             _local_scratch.append(tempfile.mkdtemp(prefix="pairmill-"))
+            atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
         root = _local_scratch[0]
-    return f"{root.rstrip('/')}/pairmill/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/pairmill/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder the cluster names for checkpoints.
+
+    Intermediate tables are written there, not kept on executors, so they outlive the loss of any
+    executor. Only a session on one machine may fall back to a temporary folder of it, which is
+    removed at exit.
+    """
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application, once its results are elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def input_bytes(rows: DataFrame) -> int | None:

@@ -371,3 +371,8 @@ def test_export_job_publishes_the_best_checkpoint(spark, folder, monkeypatch):
 def test_tokenizing_concurrency_is_a_setting(spark, folder):
     version = prepare(spark, config(folder, tokenize_partitions=3), some_pairs(spark))
     assert versions.read_train(spark, version).count() == 30
+
+
+def test_run_ids_are_times_of_the_driver():
+    one = PrepConfig().run_id
+    assert dt.datetime.strptime(one, "%Y%m%d-%H%M%S") and PrepConfig(run_id="x").run_id == "x"

@@ -1,6 +1,7 @@
 import pytest
 
 from pairmill import session
+from pairmill.sources import files
 
 PARTITIONS = session.INITIAL_PARTITIONS
 
@@ -19,13 +20,18 @@ def test_a_cluster_must_name_its_shared_folder():
 
     class Cluster:
         conf = Unset
-        sparkContext = type("Context", (), {"master": "yarn"})
+        sparkContext = type("Context", (), {"master": "yarn", "applicationId": "a"})
 
     class Local(Cluster):
-        sparkContext = type("Context", (), {"master": "local[2]"})
+        sparkContext = type("Context", (), {"master": "local[2]", "applicationId": "a"})
+
+    class SeveralProcesses(Cluster):
+        sparkContext = type("Context", (), {"master": "local-cluster[2,1,1024]"})
 
     with pytest.raises(ValueError):
         session.scratch_path(Cluster, "x")
+    with pytest.raises(ValueError):
+        session.scratch_path(SeveralProcesses, "x")
     assert session.scratch_path(Local, "x").startswith(session._local_scratch[0])
 
 
@@ -47,3 +53,10 @@ def test_an_input_of_unknown_size_gets_many_partitions(spark, monkeypatch):
     monkeypatch.setattr(session, "input_bytes", lambda rows: None)
     with session.sized_shuffles(spark.range(1)):
         assert int(spark.conf.get(PARTITIONS)) == session.UNKNOWN_PARTITIONS
+
+
+def test_scratch_can_be_cleared(spark):
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    assert not files.exists(spark, path)
