@@ -8,11 +8,11 @@ before it. (The last token of a prefix is the one vocabulary entry that ends the
 beside the token before it when the two are encoded together.) States are built when first
 reached and then live in a hash table of numpy arrays.
 
-A text is cut into chunks that advance in step, one byte of each at a time. Every word begins in
-the start state, so the state map of a chunk is: its head, up to the first word start, and a
-constant behind it. A prefix scan over the chunks composes these maps: behind a chunk with a word
-start the state is known at once, chunks inside one long word take it from their predecessor; then
-the heads run again from their true states.
+A text is cut into chunks that advance in step, one byte of each at a time, all from the start
+state. What a chunk does to another state is the same from the first word start on, or from where
+the two runs meet, which is mostly within a few bytes. So a prefix scan over the chunks hands every
+chunk the state its predecessor ends in, and only heads run again, all at once, until they meet
+what is there; a chunk whose end changes hands on its new state in the next round.
 
 Words are those of the split rule ``'s|'t|'re|'ve|'m|'ll|'d|letters|one number|others`` on lower
 case. Characters beyond U+024F, control separators, the dotted capital I and special tokens are
@@ -31,7 +31,7 @@ from pairmill.llm.scan import Slice
 
 LAST_PLAIN = 0x24F
 CHUNK = 256
-START, UNKNOWN = 0, 1
+START = 0
 WORD_END = "</w>"
 # A worker's machine is compiled anew beyond this many states, which bounds its memory.
 MOST_STATES = 300_000
@@ -177,9 +177,6 @@ class Transducer:
         self._allocate(1 << 16)
         # (suffix that may grow, its token count less that of the whole prefix, token before it)
         self._state((((), 0, -1),))
-        self._state(("unknown",))
-        for code in range(CODES):
-            self._insert(UNKNOWN * CODES + code, UNKNOWN, -1, 0)
         self._library = None
         self._memo: dict[str, list[int]] = {}
 
@@ -271,30 +268,36 @@ class Transducer:
         tokens = np.empty((CHUNK, lanes), dtype=np.int32)
         weights = np.empty((CHUNK, lanes), dtype=np.int8)
 
-        state = np.full(lanes, UNKNOWN, dtype=np.int32)
+        # The state before every byte, so that a later run sees where it meets this one.
+        states = np.empty((CHUNK, lanes), dtype=np.int32)
+
+        state = np.full(lanes, START, dtype=np.int32)
         for step in range(CHUNK):
             state[marks[step]] = START
+            states[step] = state
             slots = self._slots(state.astype(np.uint32) * np.uint32(CODES) + grid[step])
             tokens[step], weights[step] = self.token[slots], self.weight[slots]
             state = self.target[slots]
 
-        head = np.where(marks.any(axis=0), marks.argmax(axis=0), CHUNK)
-        leaving = np.where(head < CHUNK, state, -1)
-        pending = np.flatnonzero(head > 0)
-        while len(pending):
-            # Chunks whose predecessor's last state is known; a chain in one word takes turns.
-            ready = pending[leaving[pending - 1] >= 0]
-            pending = pending[leaving[pending - 1] < 0]
-            state, active, step = leaving[ready - 1].astype(np.int32), ready, 0
-            while len(active):
+        leaving = state
+        follows = ~marks[0]
+        moved = np.arange(lanes - 1)
+        while True:
+            # Chunks that go on in a word and were run from another state than is handed to them.
+            active = moved[follows[moved + 1] & (states[0, moved + 1] != leaving[moved])] + 1
+            if not len(active):
+                break
+            state, step, changed = leaving[active - 1], 0, []
+            while len(active) and step < CHUNK:
+                open_ones = ~marks[step, active] & (states[step, active] != state)
+                active, state = active[open_ones], state[open_ones]
+                states[step, active] = state
                 slots = self._slots(state.astype(np.uint32) * np.uint32(CODES) + grid[step, active])
                 tokens[step, active], weights[step, active] = self.token[slots], self.weight[slots]
                 state = self.target[slots]
                 step += 1
-                done = head[active] <= step
-                whole = active[done & (head[active] == CHUNK)]
-                leaving[whole] = state[done & (head[active] == CHUNK)]
-                active, state = active[~done], state[~done]
+            leaving[active] = state
+            moved = active[active < lanes - 1]
         return tokens.T.reshape(-1)[:n], weights.T.reshape(-1)[:n]
 
     def _stream(self, texts: list[str]):
