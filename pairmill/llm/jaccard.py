@@ -118,7 +118,7 @@ def _sent(part: Slice, n: int, buckets: int):
     inside = wanted[owners]
     found, owners = found[inside], owners[inside]
     low = found & np.uint64((1 << 48) - 1)
-    bucket = ((found >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+    bucket = ((found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort([low, bucket])
     low, bucket, owners = low[order], bucket[order], owners[order]
     edge = np.ones(len(low) + 1, dtype=bool)
@@ -216,7 +216,7 @@ def candidate_sets(
     spark = source.sparkSession
     if not total:
         return None
-    buckets = min(1 << 16, math.ceil(total / BUCKET_SHINGLES) + 1)
+    buckets = math.ceil(total / BUCKET_SHINGLES) + 1
 
     def send(part, ids):
         # Places are 16-bit numbers.

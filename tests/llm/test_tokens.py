@@ -10,7 +10,7 @@ from corpus import ODD_TEXTS, empty, frame, odd, prose
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from pairmill.llm.packing import best_fit, best_fit_packing, pack, pack_pieces, token_pieces
+from pairmill.llm.packing import best_fit, best_fit_packing, pack, pack_pieces
 from pairmill.llm.token_counts import token_counts
 from pairmill.llm.training_order import (
     Layout, Permutation, read_sequences, training_order, write_training_order,
