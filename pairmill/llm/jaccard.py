@@ -108,7 +108,10 @@ SENT = "bucket int, single binary, place binary, many binary, keys binary, sizes
 
 def _sent(part: Slice, n: int, buckets: int):
     """One row per bucket: what a slice of texts tells about its shingles there."""
-    found, owners = shingles(part, n)
+    # Hashing takes many times the bytes of a text, so it goes piece by piece.
+    pairs = [(piece.first, *shingles(piece, n)) for piece in part.pieces()]
+    found = np.concatenate([found for _, found, _ in pairs])
+    owners = np.concatenate([owners + first for first, _, owners in pairs])
     keys, counts = set_keys(found, owners, part.size)
     # Equal sets inside the slice count once.
     _, kept = np.unique(keys, return_index=True)

@@ -31,11 +31,10 @@ from pairmill.session import scratch_path, ship_package
 
 # Hashes of the marks around a text; words have other hashes with all but certainty.
 BEGIN, END = np.uint64(0x5D1F0A9C3E7B2486), np.uint64(0xA3C8E61B94F07D52)
-SLICE = 2 << 20
 # Bytes of text per bucket of words and of bigrams.
 WORD_BUCKET_BYTES, BIGRAM_BUCKET_BYTES = 256 << 20, 32 << 20
 # Entries that a task gathers before it sends them.
-GATHERED = 3_000_000
+GATHERED = 2_000_000
 # Words with more than this share of all tokens have their bigrams dealt by both words.
 FREQUENT_SHARE = 1 / 2000
 MANY = 255
@@ -179,7 +178,7 @@ def fit_language_model(training: DataFrame, id_column: str, text_column: str) ->
             return _batch(list(rows), WORDS)
 
         for batch in batches:
-            for part in slices(batch.column(0), SLICE):
+            for part in slices(batch.column(0)):
                 keys, sums = np.unique(tokens(part)[0], return_counts=True)
                 held += [keys, np.array([BEGIN])]
                 counts += [sums.astype("<u8"), np.array([part.size], dtype="<u8")]
@@ -246,7 +245,7 @@ def fit_language_model(training: DataFrame, id_column: str, text_column: str) ->
                 )
 
         for batch in batches:
-            for part in slices(batch.column(0), SLICE):
+            for part in slices(batch.column(0)):
                 second, first, _ = tokens(part)
                 firsts.append(first)
                 seconds.append(second)
@@ -451,7 +450,7 @@ def score_texts(documents: DataFrame, model: LanguageModel, id_column: str, text
     def run(batches):
         reader = _reader(model, folder if mounted else SparkFiles.get(folder.rsplit("/", 1)[1]))
         for batch in batches:
-            for part in slices(batch.column(1), SLICE):
+            for part in slices(batch.column(1)):
                 found = reader.score(part)
                 yield pa.RecordBatch.from_arrays(
                     [

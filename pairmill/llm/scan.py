@@ -49,7 +49,7 @@ class Powers:
             steps = np.full(n, step, dtype=np.uint64)
             steps[0] = 1
             tables.append(np.cumprod(steps, dtype=np.uint64))
-        if n <= 4 * SLICE_BYTES:
+        if n <= 2 * SLICE_BYTES:
             self.up, self.down = tables
         return tables[0], tables[1]
 
@@ -101,6 +101,10 @@ class Slice:
             self._words = starts, ends, owner
         return self._words
 
+    def pieces(self, most: int = SLICE_BYTES) -> Iterator[Slice]:
+        """Slices of this slice, of about ``most`` bytes."""
+        return _cut(self.data, self.bounds, most)
+
     def per_text(self, owner: np.ndarray, weights=None) -> np.ndarray:
         return np.bincount(owner, weights, minlength=self.size)
 
@@ -128,7 +132,10 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[Slice]:
     """Cuts a batch into slices of about ``most`` bytes between texts, never inside one."""
-    data, bounds = text_buffers(texts)
+    return _cut(*text_buffers(texts), most)
+
+
+def _cut(data: np.ndarray, bounds: np.ndarray, most: int) -> Iterator[Slice]:
     first, rows = 0, len(bounds) - 1
     while first < rows:
         last = int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1

@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
@@ -105,9 +106,14 @@ class Merges:
         self.token_of = {
             codes: token for token, codes in self.symbols.items() if self._stands(token)
         }
-        self.growing = {
-            codes[:k] for codes in self.token_of for k in range(1, len(codes))
-        }
+        # Beginnings of tokens as numbered nodes, 0 the empty one: what a code makes of each.
+        self.longer: dict[int, int] = {}
+        self.completed: dict[int, int] = {}
+        for codes, token in self.token_of.items():
+            node = 0
+            for code in codes[:-1]:
+                node = self.longer.setdefault(node * CODES + code, len(self.longer) + 1)
+            self.completed[node * CODES + codes[-1]] = token
         self._beside: dict[tuple[int, int], bool] = {}
 
     def encode(self, codes) -> list[int]:
@@ -172,11 +178,12 @@ class Transducer:
         self.length = np.zeros(max(self.merges.ids.values()) + 1, dtype=np.int64)
         for token, codes in self.merges.symbols.items():
             self.length[token] = len(codes)
-        self.states: dict[tuple, int] = {}
-        self.growth: list[tuple] = []
+        # A state is a sequence of triples, packed: a suffix that may grow, as its node, its token
+        # count less that of the whole prefix, and the token before it.
+        self.states: dict[bytes, int] = {}
+        self.growth: list[bytes] = []
         self._allocate(1 << 16)
-        # (suffix that may grow, its token count less that of the whole prefix, token before it)
-        self._state((((), 0, -1),))
+        self._state([0, 0, -1])
         self._library = None
         self._memo: dict[str, list[int]] = {}
 
@@ -205,7 +212,8 @@ class Transducer:
         self.token[slot], self.weight[slot] = token, weight
         self.used += 1
 
-    def _state(self, growth: tuple) -> int:
+    def _state(self, triples: list[int]) -> int:
+        growth = array("i", triples).tobytes()
         number = self.states.get(growth)
         if number is None:
             number = self.states[growth] = len(self.growth)
@@ -216,21 +224,24 @@ class Transducer:
         """Adds the transition of one state on one code."""
         state, code = divmod(key, CODES)
         merges = self.merges
-        for suffix, relative, before in self.growth[state]:
-            token = merges.token_of.get(suffix + (code,))
+        numbers = array("i")
+        numbers.frombytes(self.growth[state])
+        triples = [numbers[i : i + 3] for i in range(0, len(numbers), 3)]
+        for node, relative, before in triples:
+            token = merges.completed.get(node * CODES + code)
             if token is not None and (before < 0 or merges.beside(before, token)):
                 break
         weight = relative + 1
         if code >= 256:
             self._insert(key, START, token, weight)
             return
-        growth = [
-            (suffix + (code,), relative - weight, before)
-            for suffix, relative, before in self.growth[state]
-            if suffix + (code,) in merges.growing
-        ]
-        growth.append(((), 0, token))
-        self._insert(key, self._state(tuple(growth)), token, weight)
+        growth = []
+        for node, relative, before in triples:
+            longer = merges.longer.get(node * CODES + code)
+            if longer is not None:
+                growth += (longer, relative - weight, before)
+        growth += (0, 0, token)
+        self._insert(key, self._state(growth), token, weight)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         while True:
