@@ -16,7 +16,7 @@ from pairmill.llm.scan import BYTE_POWERS, BYTE_VALUE, LOWER, Slice, Spans, mix,
 from pairmill.session import ship_package
 
 # Terms that the classifier looks for: those most typical of the toxic examples.
-TERMS = 2048
+TERMS = 512
 # A term must stand in so many toxic examples.
 LEAST_EXAMPLES = 3
 # Log-likelihood that a term's share of toxic examples must gain over its share of all text; chance
@@ -36,7 +36,9 @@ class ToxicitySettings(PuSettings):
     least_examples: int = LEAST_EXAMPLES
     max_positive: int = 5_000
     max_unlabelled: int = 10_000
-    epochs: int = 40
+    # Few examples are positive, so the risk of a small batch is often negative by chance.
+    batch: int = 2048
+    epochs: int = 80
     decay: float = 3e-4
 
 
