@@ -23,18 +23,25 @@ MOST_TOXICITY = 0.3
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not use."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the quality classifier accepts."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    scored = with_score(docs, model, "_quality")
-    return scored.where(F.col("_quality") >= LEAST_QUALITY).select(docs.columns)
+    score = _free(docs, "quality")
+    return with_score(docs, model, score).where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the toxicity classifier marks."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = with_score(docs, model, "_toxicity")
-    return scored.where(F.col("_toxicity") < MOST_TOXICITY).select(docs.columns)
+    score = _free(docs, "toxicity")
+    return with_score(docs, model, score).where(F.col(score) < MOST_TOXICITY).drop(score)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -292,3 +292,20 @@ def test_pipeline_keeps_clean_documents_and_drops_the_rest(spark, folder):
     assert len(kept & set(clean)) >= 0.97 * len(clean)
     bad = [i for i in range(300) if not quality[i] or toxic[i]]
     assert len(kept & set(bad)) <= 0.03 * len(bad)
+
+
+def test_every_stage_stands_odd_rows_clashing_names_and_empty_tables(spark, folder):
+    rows = odd(spark).withColumns({"quality": F.lit("mine"), "component_id": F.col("doc_id")})
+    marks = [(0, 1, 1), (3, None, 0), (None, 1, 1), (8, 0, 0), (9, 1, 0)]
+    labelled(spark, marks).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, ITEM), (None, None)], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    for documents in (rows, rows.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, documents, folder)
+            count = out.count()
+            if name != "best_fit_packing":
+                assert out.columns == documents.columns
+                assert count <= documents.count()
+            assert documents is rows or count == 0
