@@ -29,15 +29,15 @@ from pyspark.sql.window import Window
 
 from pairmill.llm.components import connected_components
 from pairmill.llm.scan import (
-    WORD_POWERS, Slice, mix, slices, span_hashes, window_hashes, word_hashes,
+    WORD_POWERS, Slice, mix, release, slices, span_hashes, window_hashes, word_hashes,
 )
 from pairmill.llm.selection import BROADCAST_IDS
 from pairmill.session import scratch_path, ship_package
 
 # Shingles that one task of the sharing count holds; more buckets are made for more.
-BUCKET_SHINGLES = 2_000_000
+BUCKET_SHINGLES = 1_000_000
 # Bytes of text whose shingles are sorted together before they are sent.
-SORTED_BYTES = 6 << 20
+SORTED_BYTES = 3 << 20
 # Sets that are compared at once.
 BLOCK_SETS = 256
 # Subsets of larger sets are never fewer than list entries.
@@ -181,6 +181,8 @@ def _shared(table: pa.Table, ranges: int) -> pa.Table:
         for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a
     ]
     columns = list(zip(*out)) if out else [[], [], [], []]
+    del rows, keys, single, owner, many, order, everyone, place
+    release()
     return pa.table(
         [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
         names=["range", "keys", "sizes", "shared"],

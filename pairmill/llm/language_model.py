@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairmill.llm.sampling import fold
-from pairmill.llm.scan import Slice, mix, slices, word_hashes
+from pairmill.llm.scan import Slice, mix, release, slices, word_hashes
 from pairmill.llm.training_order import _file_system
 from pairmill.session import scratch_path, ship_package
 
@@ -280,6 +280,8 @@ def fit_language_model(training: DataFrame, id_column: str, text_column: str) ->
         )
         levels = np.stack(levels, axis=1).astype("<u4")
         rows += [(2, *r) for r in _by_bucket(bucket_of(own, word_buckets), word_buckets, own, levels)]
+        del order, keys, first, second, begin, counts
+        release()
         return pa.Table.from_batches([_batch(rows, "kind bucket keys values")])
 
     pairs = source.mapInArrow(

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.scan import slices
+from pairmill.llm.scan import release, slices
 from pairmill.llm.transducer import texts_of, transducer
 from pairmill.llm.vocabulary import broadcast_vocabulary
 from pairmill.session import scratch_path, ship_package
@@ -279,6 +279,7 @@ def _pack_groups(waiting, groups, round_number, capacity, reopen_below, schema):
             reopened[items] = held.sum() < reopen_below * capacity
         # Rounds, groups and bins have separate ranges of numbers.
         sequence += (round_number << 56) + (group << 24)
+        release()
         out = table.drop_columns(["_group"])
         out = out.append_column("sequence_id", pa.array(sequence))
         out = out.append_column("offset", pa.array(offset))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:
+    _LIBC = None
+
+
+def release() -> None:
+    """Gives freed memory back to the system. Workers outlive their tasks, and the memory that one
+    operator leaves to the allocator would be missing to the next."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values evenly (one to one)."""
     x = x.astype(np.uint64, copy=True)
@@ -132,7 +147,8 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[Slice]:
     """Cuts a batch into slices of about ``most`` bytes between texts, never inside one."""
-    return _cut(*text_buffers(texts), most)
+    yield from _cut(*text_buffers(texts), most)
+    release()
 
 
 def _cut(data: np.ndarray, bounds: np.ndarray, most: int) -> Iterator[Slice]:
