@@ -87,6 +87,65 @@ def op4_repetition_quality(spark, sf_dir):
     return repetition_quality(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op4_repetition_quality"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+flat AS (SELECT doc_id, unnest(range(len(w))) AS place, length(unnest(w)) AS size FROM words),
+lengths(n) AS (VALUES (3), (5), (6), (7), (8), (9), (10)),
+begins AS (
+    SELECT doc_id, n, w, unnest(range(greatest(len(w) - n + 1, 0))) AS i FROM words, lengths),
+windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS g FROM begins),
+seen AS (
+    SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS times,
+        row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS k
+    FROM windows),
+held AS (
+    SELECT DISTINCT doc_id, n, i + unnest(range(n)) AS place FROM seen
+    WHERE CASE n WHEN 3 THEN times > 1 ELSE k > 1 END),
+covered AS (
+    SELECT doc_id, count(*) FILTER (n = 3) AS n_repeat_words,
+        sum(size) FILTER (n = 5) AS c5, sum(size) FILTER (n = 6) AS c6,
+        sum(size) FILTER (n = 7) AS c7, sum(size) FILTER (n = 8) AS c8,
+        sum(size) FILTER (n = 9) AS c9, sum(size) FILTER (n = 10) AS c10
+    FROM held JOIN flat USING (doc_id, place) GROUP BY doc_id),
+rows AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        unnest(range(len(string_split(text, chr(10))))) AS place FROM texts),
+lines AS (
+    SELECT doc_id, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS size,
+        row_number() OVER (PARTITION BY doc_id, line ORDER BY place) AS k
+    FROM rows WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+repeated AS (
+    SELECT doc_id, count(*) AS n_dup_lines, sum(size) AS dup_line_chars
+    FROM lines WHERE k > 1 GROUP BY doc_id),
+figures AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        CAST(coalesce(dup_line_chars, 0) AS BIGINT) AS dup_line_chars,
+        CAST(coalesce(c5, 0) AS BIGINT) AS dup_5gram_chars,
+        CAST(coalesce(c6, 0) AS BIGINT) AS dup_6gram_chars,
+        CAST(coalesce(c7, 0) AS BIGINT) AS dup_7gram_chars,
+        CAST(coalesce(c8, 0) AS BIGINT) AS dup_8gram_chars,
+        CAST(coalesce(c9, 0) AS BIGINT) AS dup_9gram_chars,
+        CAST(coalesce(c10, 0) AS BIGINT) AS dup_10gram_chars
+    FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+SELECT *, NOT base_failed AND dup_line_chars <= CAST(0.2 AS DOUBLE) * word_chars
+    AND dup_5gram_chars <= CAST(0.15 AS DOUBLE) * word_chars
+    AND dup_6gram_chars <= CAST(0.14 AS DOUBLE) * word_chars
+    AND dup_7gram_chars <= CAST(0.13 AS DOUBLE) * word_chars
+    AND dup_8gram_chars <= CAST(0.12 AS DOUBLE) * word_chars
+    AND dup_9gram_chars <= CAST(0.11 AS DOUBLE) * word_chars
+    AND dup_10gram_chars <= CAST(0.10 AS DOUBLE) * word_chars AS kept
+FROM judged
+"""
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
