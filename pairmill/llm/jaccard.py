@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from pairmill.llm.components import connected_components
 from pairmill.llm.scan import (
-    WORD_POWERS, Slice, mix, release, slices, span_hashes, window_hashes, word_hashes,
+    SLICE_BYTES, WORD_POWERS, Slice, mix, release, slices, span_hashes, window_hashes, word_hashes,
 )
 from pairmill.llm.selection import BROADCAST_IDS
 from pairmill.session import scratch_path, ship_package
@@ -37,7 +37,7 @@ from pairmill.session import scratch_path, ship_package
 # Shingles that one task of the sharing count holds; more buckets are made for more.
 BUCKET_SHINGLES = 1_000_000
 # Bytes of text whose shingles are sorted together before they are sent.
-SORTED_BYTES = 3 << 20
+SORTED_BYTES = 2 << 20
 # Sets that are compared at once.
 BLOCK_SETS = 256
 # Subsets of larger sets are never fewer than list entries.
@@ -261,7 +261,7 @@ def candidate_sets(
 
     sets = _mapped(
         source.join(ids, "_id", "left_semi"), "key long, size int, shingles array<long>", keep,
-        1 << 20,
+        SLICE_BYTES,
     )
     sets.where("size > 0").write.parquet(f"{root}/sets")
     return spark.read.parquet(f"{root}/sets")
@@ -531,7 +531,7 @@ def jaccard_components(
             names=["_id", "key", "size"],
         )
 
-    _mapped(source, f"_id {kind}, key long, size long", describe, 1 << 20).write.parquet(
+    _mapped(source, f"_id {kind}, key long, size long", describe, SLICE_BYTES).write.parquet(
         f"{root}/members"
     )
     members = spark.read.parquet(f"{root}/members")

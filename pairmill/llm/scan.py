@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one numpy pass works on; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 # The white space of the word rule, and hash multipliers (any odd numbers would do).
 SPACE = np.zeros(256, dtype=bool)
