@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.scan import BYTE_POWERS, BYTE_VALUE, LOWER, Slice, slices, span_hashes, window_hashes
+from pairmill.llm.scan import (
+    BYTE_POWERS, BYTE_VALUE, LOWER, WORD_POWERS, Slice, slices, span_hashes, window_hashes,
+)
 from pairmill.session import ship_package
 
 LITERAL, NUMBER, NAME, UNIT = range(4)
@@ -45,12 +47,15 @@ STOP[list(b".!?:")] = True
 class TemplateSettings:
     """``window`` words make a window; ``least_literal`` of them must be words, not placeholders.
 
-    A document holds an item when windows with consistent slots cover ``min_coverage`` of it.
+    A window with fewer is lengthened to ``longest`` words at most until it has them; as it is, it
+    meets equal words alone. A document holds an item when windows with consistent slots cover
+    ``min_coverage`` of it.
     """
 
     window: int = 8
     least_literal: int = 4
     min_coverage: float = 0.25
+    longest: int = 32
 
 
 def _unit_hashes() -> np.ndarray:
@@ -102,29 +107,57 @@ class Template:
         self.kind[upper & ~opens & ~shouted] = NAME
         self.kind[behind & (UNIT_HASHES[at] == hashes)] = UNIT
         self.kind[number] = NUMBER
+        self.plain = hashes
         self.hashes = np.where(self.kind == LITERAL, hashes, self.kind.astype(np.uint64))
+        self.literal = np.zeros(n + 1, dtype=np.int64)
+        np.cumsum(self.kind == LITERAL, out=self.literal[1:])
         self.part = part
 
     def word(self, i: int) -> str:
         return self.part.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace").lower()
 
-    def windows(self, n: int, least_literal: int) -> tuple[np.ndarray, np.ndarray]:
-        found, first = window_hashes(self.hashes, self.owner, n)
-        literal = np.zeros(len(self.kind) + 1, dtype=np.int64)
-        np.cumsum(self.kind == LITERAL, out=literal[1:])
-        enough = literal[first + n] - literal[first] >= least_literal
-        return found[enough], first[enough]
+    def verbatim(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows as they are, and their first words."""
+        return window_hashes(self.plain, self.owner, n)
+
+    def dense(self, first: np.ndarray, n: int, least_literal: int) -> np.ndarray:
+        return self.literal[first + n] - self.literal[first] >= least_literal
+
+    def templates(
+        self, first: np.ndarray, n: int, least_literal: int, longest: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the windows with placeholders, their first words and ends.
+
+        A window short of literals ends behind the last one it needs, if its text has that.
+        """
+        ends = first + n
+        short = np.flatnonzero(~self.dense(first, n, least_literal))
+        places = np.flatnonzero(self.kind == LITERAL)
+        last = self.literal[first[short]] + least_literal - 1
+        there = last < len(places)
+        ends[short[~there]] = -1
+        short = short[there]
+        ends[short] = places[last[there]] + 1
+        kept = (ends > first) & (ends - first <= max(n, longest))
+        first, ends = first[kept], ends[kept]
+        kept = self.owner[ends - 1] == self.owner[first]
+        # Without a placeholder the window as it is says the same.
+        kept &= self.literal[ends] - self.literal[first] < ends - first
+        first, ends = first[kept], ends[kept]
+        return span_hashes(self.hashes, first, ends, WORD_POWERS), first, ends
 
     def slots(self, first: int, n: int) -> list[str]:
         return [self.word(first + i) for i in np.flatnonzero(self.kind[first : first + n])]
 
 
-WINDOWS = "at long, length int, hash long, slots array<string>"
+WINDOWS = "at long, length int, hash long, dense boolean, slots array<string>"
 
 
 def _windows(rows: DataFrame, settings: TemplateSettings, lengths=None, wanted=None) -> DataFrame:
-    """(_id, at, length, hash, slots) of the windows of a table (_id, _text).
+    """(_id, at, length, hash, dense, slots) of the windows of a table (_id, _text).
 
+    Every window comes as it is, without slots, and where it has placeholders and enough literals
+    also as a template; ``dense`` ones have those without being lengthened.
     With ``lengths`` None a text shorter than the window is one window of its own length.
     ``wanted`` is a broadcast of sorted hashes that alone are of interest.
     """
@@ -138,32 +171,41 @@ def _windows(rows: DataFrame, settings: TemplateSettings, lengths=None, wanted=N
                 begins = np.cumsum(counts) - counts
                 sizes = lengths or sorted({settings.window, *counts[
                     (counts >= settings.least_literal) & (counts < settings.window)].tolist()})
-                out = [[], [], [], [], []]
+                out = [[], [], [], [], [], []]
                 for n in sizes:
-                    found, first = template.windows(n, settings.least_literal)
+                    found, first = template.verbatim(n)
                     if lengths is None and n < settings.window:
                         own = counts[template.owner[first]] == n
                         found, first = found[own], first[own]
-                    if wanted is not None:
-                        known = wanted.value
-                        at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-                        hit = known[at] == found if len(known) else np.zeros(len(found), bool)
-                        found, first = found[hit], first[hit]
-                    owner = template.owner[first]
-                    out[0].append(owner)
-                    out[1].append(first - begins[owner])
-                    out[2].append(np.full(len(first), n, dtype=np.int32))
-                    out[3].append(found.view(np.int64))
-                    out[4] += [template.slots(int(i), n) for i in first]
+                    longest = settings.longest if n == settings.window else n
+                    for plain, found, first, ends in (
+                        (True, found, first, first + n),
+                        (False, *template.templates(first, n, settings.least_literal, longest)),
+                    ):
+                        if wanted is not None:
+                            known = wanted.value
+                            at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+                            hit = known[at] == found if len(known) else np.zeros(len(found), bool)
+                            found, first, ends = found[hit], first[hit], ends[hit]
+                        owner = template.owner[first]
+                        out[0].append(owner)
+                        out[1].append(first - begins[owner])
+                        out[2].append((ends - first).astype(np.int32))
+                        out[3].append(found.view(np.int64))
+                        out[4].append(template.dense(first, n, settings.least_literal))
+                        out[5] += [
+                            [] if plain else template.slots(i, e - i)
+                            for i, e in zip(first.tolist(), ends.tolist())
+                        ]
                 if not out[0]:
                     continue
                 place = pa.array(part.first + np.concatenate(out[0]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(place), *(pa.array(np.concatenate(c)) for c in out[1:4]),
-                        pa.array(out[4], pa.list_(pa.string())),
+                        batch.column(0).take(place), *(pa.array(np.concatenate(c)) for c in out[1:5]),
+                        pa.array(out[5], pa.list_(pa.string())),
                     ],
-                    names=["_id", "at", "length", "hash", "slots"],
+                    names=["_id", "at", "length", "hash", "dense", "slots"],
                 )
 
     return rows.mapInArrow(run, f"_id {kind}, {WINDOWS}")
@@ -181,7 +223,11 @@ def contaminated(
     inside a sentence, and units behind a number become typed placeholders. Windows of both sides
     are hash-joined; the windows of one alignment of item and document must replace every slot
     value of the item by one value, else they do not count. ``reparameterised`` tells that some
-    value differs.
+    value differs. Every window of an item is also looked for word by word, whatever it is made
+    of, so a copy of an item with at least ``least_literal`` words is found even if the item is
+    numbers alone; changed values are found where a window has ``least_literal`` literals within
+    ``longest`` words. ``coverage`` is the larger of two shares, with its ``windows`` and
+    ``item_windows``: of all windows, and of those that are dense with literals.
 
     Null and empty texts hold nothing; an item with fewer words than ``least_literal`` is not
     looked for; repeated documents and items give the same rows once per id; empty tables give an
@@ -197,12 +243,16 @@ def contaminated(
     items = _windows(source(benchmark, item_column, item_text_column), settings)
     items = items.select(
         F.col("_id").alias("item"), F.col("at").alias("item_at"), "length", "hash",
-        F.col("slots").alias("item_slots"),
+        F.col("dense").alias("item_dense"), F.col("slots").alias("item_slots"),
     ).dropDuplicates(["item", "item_at", "length", "hash"]).persist()
-    totals = items.groupBy("item").agg(F.countDistinct("item_at").alias("item_windows"))
+    totals = items.groupBy("item").agg(
+        F.countDistinct("item_at").alias("all"),
+        F.countDistinct(F.when(F.col("item_dense"), F.col("item_at"))).alias("dense"),
+    )
     hashes = items.select("hash").distinct()
     lengths = sorted(
-        {settings.window, *(r["length"] for r in items.select("length").distinct().collect())}
+        {settings.window, *(r["length"] for r in items.where(
+            F.col("length") < settings.window).select("length").distinct().collect())}
     )
     wanted = None
     if hashes.count() <= BROADCAST_WINDOWS:
@@ -210,26 +260,38 @@ def contaminated(
         wanted = spark.sparkContext.broadcast(np.sort(known))
     found = _windows(source(documents, id_column, text_column), settings, lengths, wanted)
     side = F.broadcast(items) if wanted is not None else items
-    met = found.join(side, ["hash", "length"])
+    met = found.drop("dense").join(side, ["hash", "length"])
     pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
     # One alignment has at most one window per word of the item, which bounds these sets.
     aligned = met.groupBy("_id", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("item_at").alias("places"),
+        F.collect_set(F.when(F.col("item_dense"), F.col("item_at"))).alias("dense_places"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
     kinds = F.size(F.array_distinct(F.transform("pairs", lambda p: p["ours"])))
     sound = aligned.where(F.size("pairs") == kinds)
     changed = F.exists("pairs", lambda p: p["ours"] != p["theirs"])
+
+    def held(places: str):
+        return F.size(F.array_distinct(F.flatten(F.collect_set(places)))).cast("long")
+
     covered = (
         sound.withColumn("changed", changed)
         .groupBy("_id", "item").agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("windows"),
+            held("places").alias("held"), held("dense_places").alias("held_dense"),
             F.bool_or("changed").alias("reparameterised"),
         )
     )
+
+    def share(part: str, whole: str):
+        return F.when(F.col(whole) > 0, F.struct(
+            (F.col(part) / F.col(whole)).alias("coverage"), F.col(part).alias("windows"),
+            F.col(whole).alias("item_windows"),
+        ))
+
     judged = covered.join(totals, "item").withColumn(
-        "coverage", F.col("windows") / F.col("item_windows")
-    )
+        "best", F.greatest(share("held", "all"), share("held_dense", "dense"))
+    ).select("_id", "item", "best.*", "reparameterised")
     return judged.where(F.col("coverage") >= settings.min_coverage).select(
         F.col("_id").alias(id_column), F.col("item").alias(item_column), "windows",
         "item_windows", "coverage", "reparameterised",

@@ -234,6 +234,30 @@ def test_items_are_found_with_changed_numbers_names_and_units(spark):
     assert all(r.coverage == r.windows / r.item_windows for r in rows)
 
 
+TRAINS = "Train A travels 60 km in 2 hours; Train B 90 km in 3 hours"
+SUMS = "12 + 30 = 42, 17 + 8 = 25, 9 + 40 = 49, 81 + 3 = 84"
+SHORT = "x 17 18 19 20"
+TABLE = "year " + " ".join(f"{i} {i * i} kg" if i % 3 else f"{i} {i * i} kg per head" for i in range(1, 40))
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 0])
+def test_number_heavy_items_are_found(spark, monkeypatch, bound):
+    from pairmill.llm import templates
+
+    monkeypatch.setattr(templates, "BROADCAST_WINDOWS", bound)
+    items = [TRAINS, SUMS, SHORT, TABLE]
+    texts = [f"{prose(i, 30)} and {item} {prose(50 + i, 30)}" for i, item in enumerate(items)]
+    texts += items + [TABLE.replace("kg", "lb"), SUMS.replace("1", "7"), prose(3, 90)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in contaminated(frame(spark, texts), benchmark).collect()}
+    assert set(rows) == {*((i, i) for i in range(4)), *((4 + i, i) for i in range(4)), (8, 3)}
+    assert all(r.coverage == 1 for k, r in rows.items() if k[0] < 8)
+    # The table repeats itself, so it also meets itself further on with other values.
+    assert not any(r.reparameterised for k, r in rows.items() if k[1] < 3)
+    # Here only windows that were lengthened have four literals.
+    assert rows[(8, 3)].reparameterised and rows[(8, 3)].coverage > 0.5
+
+
 def test_decontamination_beyond_the_broadcast_bound_is_the_same(spark, monkeypatch):
     from pairmill.llm import templates
 
