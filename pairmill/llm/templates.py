@@ -211,6 +211,42 @@ def _windows(rows: DataFrame, settings: TemplateSettings, lengths=None, wanted=N
     return rows.mapInArrow(run, f"_id {kind}, {WINDOWS}")
 
 
+def consistent(windows: list[list[tuple[str, str]]]) -> list[bool]:
+    """Which windows of one alignment count, by their pairs of an item's and a document's value."""
+    pairs = {pair for window in windows for pair in window}
+    # A value that the document keeps somewhere stands for itself; one with two others is torn.
+    kept = {ours for ours, theirs in pairs if ours == theirs}
+    new = [ours for ours, _ in pairs if ours not in kept]
+    torn = len(set(new)) < len(new)
+    return [
+        all(ours == theirs or not (torn or ours in kept) for ours, theirs in window)
+        for window in windows
+    ]
+
+
+def _sound(batches):
+    """(_id, item, places, dense_places, changed) of alignments with windows that count."""
+    for batch in batches:
+        out = [[], [], [], []]
+        for number, row in enumerate(batch.column("met")):
+            met = row.as_py()
+            windows = [[(p["ours"], p["theirs"]) for p in w["pairs"]] for w in met]
+            counted = [w for w, good in zip(met, consistent(windows)) if good]
+            if counted:
+                out[0].append(number)
+                out[1].append([w["item_at"] for w in counted])
+                out[2].append([w["item_at"] for w in counted if w["item_dense"]])
+                out[3].append(any(ours != theirs for window in windows for ours, theirs in window))
+        place = pa.array(out[0], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("_id").take(place), batch.column("item").take(place),
+                *(pa.array(c, pa.list_(pa.int64())) for c in out[1:3]), pa.array(out[3], pa.bool_()),
+            ],
+            names=["_id", "item", "places", "dense_places", "changed"],
+        )
+
+
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, settings: TemplateSettings | None = None,
     id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id",
@@ -222,8 +258,10 @@ def contaminated(
     Words are compared without case and without signs around them. Numbers, capitalised words
     inside a sentence, and units behind a number become typed placeholders. Windows of both sides
     are hash-joined; the windows of one alignment of item and document must replace every slot
-    value of the item by one value, else they do not count. ``reparameterised`` tells that some
-    value differs. Every window of an item is also looked for word by word, whatever it is made
+    value of the item by one value. Of a value that is kept in one place and replaced in another the
+    windows that keep it count; if one is replaced by two others, the alignment's windows that
+    replace anything do not count. Windows that replace nothing always count. ``reparameterised``
+    tells that some value differs. Every window of an item is also looked for word by word, whatever it is made
     of, so a copy of an item with at least ``least_literal`` words is found even if the item is
     numbers alone; changed values are found where a window has ``least_literal`` literals within
     ``longest`` words. ``coverage`` is the larger of two shares, with its ``windows`` and
@@ -262,22 +300,22 @@ def contaminated(
     side = F.broadcast(items) if wanted is not None else items
     met = found.drop("dense").join(side, ["hash", "length"])
     pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
-    # One alignment has at most one window per word of the item, which bounds these sets.
+    # One alignment has at most two windows per word of the item, which bounds these sets.
     aligned = met.groupBy("_id", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("places"),
-        F.collect_set(F.when(F.col("item_dense"), F.col("item_at"))).alias("dense_places"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.collect_set(F.struct("item_at", "item_dense", pairs.alias("pairs"))).alias("met"),
+    )
+
+    kinds = {f.name: f.dataType.simpleString() for f in aligned.schema.fields}
+    sound = aligned.drop("shift").mapInArrow(
+        _sound, f"_id {kinds['_id']}, item {kinds['item']}, places array<long>, "
+        "dense_places array<long>, changed boolean",
     )
-    kinds = F.size(F.array_distinct(F.transform("pairs", lambda p: p["ours"])))
-    sound = aligned.where(F.size("pairs") == kinds)
-    changed = F.exists("pairs", lambda p: p["ours"] != p["theirs"])
 
     def held(places: str):
         return F.size(F.array_distinct(F.flatten(F.collect_set(places)))).cast("long")
 
     covered = (
-        sound.withColumn("changed", changed)
-        .groupBy("_id", "item").agg(
+        sound.groupBy("_id", "item").agg(
             held("places").alias("held"), held("dense_places").alias("held_dense"),
             F.bool_or("changed").alias("reparameterised"),
         )

@@ -234,6 +234,26 @@ def test_items_are_found_with_changed_numbers_names_and_units(spark):
     assert all(r.coverage == r.windows / r.item_windows for r in rows)
 
 
+def test_one_edited_occurrence_does_not_hide_an_item(spark):
+    words = prose(21, 60).split()
+    words[10] = words[40] = "2023"
+    dated = " ".join(words)
+    edited = " ".join([*words[:40], "2024", *words[41:]])
+    other = ITEM.replace("12 km", "7 miles").replace("45 kg", "80 lb")
+    torn = other.replace("Robert", "Dagmar").replace("where Dagmar lives", "where Ingrid lives")
+    texts = [
+        f"{prose(2, 30)} {edited} {prose(3, 30)}", ITEM.upper(), ITEM.replace("3 hours", "2 hours").replace("2 dogs", "3 dogs"),
+        ITEM.replace("where Robert lives", "where Ingrid lives"), other.replace("where Robert lives", "where Ingrid lives"), torn,
+        ITEM.replace("12 km", "2 km").replace("2 dogs", "9 dogs"),
+    ]
+    items = spark.createDataFrame([(0, dated), (1, ITEM)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in contaminated(frame(spark, texts), items).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 1), (3, 1), (4, 1), (6, 1)}
+    # 53 windows, of which the edit stands in 8.
+    assert (got[(0, 0)].windows, got[(0, 0)].item_windows, got[(0, 0)].reparameterised) == (45, 53, True)
+    assert got[(1, 1)].coverage == 1 and got[(3, 1)].coverage > 0.8 and got[(4, 1)].coverage > 0.8
+
+
 TRAINS = "Train A travels 60 km in 2 hours; Train B 90 km in 3 hours"
 SUMS = "12 + 30 = 42, 17 + 8 = 25, 9 + 40 = 49, 81 + 3 = 84"
 SHORT = "x 17 18 19 20"
