@@ -49,7 +49,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one id stay or go together; rows without an id stay.
     """
-    groups = jaccard_components(docs, SHINGLE_WORDS, SIMILARITY)
+    groups = jaccard_components(docs, SHINGLE_WORDS, SIMILARITY, count_links=False)
     return without(docs, groups.where("doc_id <> component_id").select("doc_id"), "doc_id")
 
 

@@ -13,6 +13,8 @@ Exact, without a shuffle of all shingles by row and without pairs of copies:
 4. Sets connected through lists form groups, which are compared by counting common shingles
    block against block; a block pair sends a spanning forest of its links, not the links.
 5. Components of the links, and the smallest document id of each.
+6. Links are counted by comparing the sets of each component in the same blocks; a block pair sends
+   one count per set, weighted by the sizes of the classes that it is linked with.
 """
 
 from __future__ import annotations
@@ -405,6 +407,41 @@ def compare_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int
     return 100 * same >= percent * (sizes_a[:, None] + sizes_b[None, :] - same)
 
 
+def shingle_arrays(table: pa.Table) -> list[np.ndarray]:
+    column = table.column("shingles").combine_chunks()
+    values = column.values.to_numpy()
+    bounds = column.offsets.to_numpy()
+    return [values[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
+
+
+def block_pairs(placed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets of the groups that fit one block, and those of larger ones once per pair of blocks.
+
+    ``placed`` has component, n (its sets), key, size, shingles and other columns to send along.
+    Larger groups go in blocks of like sizes.
+    """
+    few = placed.where(F.col("n") <= BLOCK_SETS)
+    many = placed.where(F.col("n") > BLOCK_SETS)
+    dealt = _numbered(many.select("component", "key", "size"), BLOCK_SETS)
+    extent = dealt.groupBy("component", "block").agg(
+        F.min("size").alias("low"), F.max("size").alias("high")
+    )
+    x, y = extent.alias("x"), extent.alias("y")
+    pairs = x.join(y, F.col("x.component") == F.col("y.component")).where(
+        (F.col("x.block") <= F.col("y.block"))
+        & (F.col("x.high") * 100 >= F.col("y.low") * percent)
+    ).select(
+        F.col("x.component").alias("component"), F.col("x.block").alias("left"),
+        F.col("y.block").alias("right"),
+    )
+    sides = pairs.select("component", "left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
+    sent = (
+        sides.join(dealt.select("component", "block", "key"), ["component", "block"])
+        .join(many.drop("component", "n", "size"), "key")
+    )
+    return few, sent
+
+
 def list_links(sets: DataFrame, lists: DataFrame, boundary: int, percent: int, root: str) -> DataFrame:
     """Links (a, b) of sets above the boundary with any other set, as forests."""
     spark = sets.sparkSession
@@ -425,12 +462,6 @@ def list_links(sets: DataFrame, lists: DataFrame, boundary: int, percent: int, r
     placed.write.parquet(f"{root}/groups")
     placed = spark.read.parquet(f"{root}/groups")
 
-    def arrays(table: pa.Table) -> list[np.ndarray]:
-        column = table.column("shingles").combine_chunks()
-        values = column.values.to_numpy()
-        bounds = column.offsets.to_numpy()
-        return [values[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
-
     def stars(keys: list[int], pairs) -> pa.Table:
         forest = _forest(len(keys), pairs)
         found = [(keys[r], keys[i]) for i, r in enumerate(forest) if r != i]
@@ -440,38 +471,17 @@ def list_links(sets: DataFrame, lists: DataFrame, boundary: int, percent: int, r
         )
 
     def whole(table: pa.Table) -> pa.Table:
-        own = arrays(table)
+        own = shingle_arrays(table)
         linked = compare_blocks(own, own, percent)
         return stars(table.column("key").to_pylist(), np.argwhere(np.triu(linked, 1)).tolist())
 
-    few = placed.where(F.col("n") <= BLOCK_SETS).groupBy("component").applyInArrow(
-        whole, "a long, b long"
-    )
-
-    # Larger groups in blocks of like sizes; a pair of blocks too unlike in size has no links.
-    many = placed.where(F.col("n") > BLOCK_SETS)
-    dealt = _numbered(many.select("component", "key", "size"), BLOCK_SETS)
-    extent = dealt.groupBy("component", "block").agg(
-        F.min("size").alias("low"), F.max("size").alias("high")
-    )
-    x, y = extent.alias("x"), extent.alias("y")
-    pairs = x.join(y, F.col("x.component") == F.col("y.component")).where(
-        (F.col("x.block") <= F.col("y.block"))
-        & (F.col("x.high") * 100 >= F.col("y.low") * percent)
-    ).select(
-        F.col("x.component").alias("component"), F.col("x.block").alias("left"),
-        F.col("y.block").alias("right"),
-    )
-    sides = pairs.select("component", "left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
-    sent = (
-        sides.join(dealt.select("component", "block", "key"), ["component", "block"])
-        .join(many.select("key", "shingles"), "key")
-    )
+    few, sent = block_pairs(placed, percent)
+    few = few.groupBy("component").applyInArrow(whole, "a long, b long")
 
     def between(table: pa.Table) -> pa.Table:
         blocks = np.array(table.column("block").to_pylist())
         left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
-        own, keys = arrays(table), table.column("key").to_pylist()
+        own, keys = shingle_arrays(table), table.column("key").to_pylist()
         p, q = np.flatnonzero(blocks == left), np.flatnonzero(blocks == right)
         linked = compare_blocks([own[i] for i in p], [own[i] for i in q], percent)
         found = np.argwhere(linked)
@@ -481,6 +491,50 @@ def list_links(sets: DataFrame, lists: DataFrame, boundary: int, percent: int, r
     return few.unionByName(more)
 
 
+def link_counts(sets: DataFrame, named: DataFrame, percent: int, root: str) -> DataFrame:
+    """(key, links): how many documents of other classes each class is linked with.
+
+    ``named`` has the component and the number of documents (held) of each linked class.
+    """
+    spark = sets.sparkSession
+    counted = named.groupBy("component").agg(F.count("*").alias("n"))
+    placed = named.join(counted, "component").join(sets.dropDuplicates(["key"]), "key")
+    placed.write.parquet(f"{root}/linked")
+    placed = spark.read.parquet(f"{root}/linked")
+
+    def counts(keys: np.ndarray, linked: np.ndarray, held: np.ndarray) -> pa.Table:
+        links = linked.astype(np.float64) @ held
+        hit = links > 0
+        return pa.table([pa.array(keys[hit]), pa.array(links[hit].astype(np.int64))], names=["key", "links"])
+
+    def columns(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        return shingle_arrays(table), table.column("key").to_numpy(), table.column("held").to_numpy()
+
+    def whole(table: pa.Table) -> pa.Table:
+        own, keys, held = columns(table)
+        linked = compare_blocks(own, own, percent)
+        np.fill_diagonal(linked, False)
+        return counts(keys, linked, held)
+
+    def between(table: pa.Table) -> pa.Table:
+        blocks = table.column("block").to_numpy()
+        left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
+        if left == right:
+            return whole(table)
+        own, keys, held = columns(table)
+        p, q = np.flatnonzero(blocks == left), np.flatnonzero(blocks == right)
+        linked = compare_blocks([own[i] for i in p], [own[i] for i in q], percent)
+        return pa.concat_tables(
+            [counts(keys[p], linked, held[q]), counts(keys[q], linked.T, held[p])]
+        )
+
+    few, sent = block_pairs(placed, percent)
+    found = few.groupBy("component").applyInArrow(whole, "key long, links long").unionByName(
+        sent.groupBy("component", "left", "right").applyInArrow(between, "key long, links long")
+    )
+    return found.groupBy("key").agg(F.sum("links").alias("links"))
+
+
 def _numbered(rows: DataFrame, most: int) -> DataFrame:
     """Deals the rows of each component into blocks of at most ``most``, ordered by size.
 
@@ -505,13 +559,13 @@ def _numbered(rows: DataFrame, most: int) -> DataFrame:
 
 def jaccard_components(
     documents: DataFrame, n: int = 3, percent: int = 90, id_column: str = "doc_id",
-    text_column: str = "text",
+    text_column: str = "text", count_links: bool = True,
 ) -> DataFrame:
-    """Rows (id, n_shingles, component_id), one per document.
+    """Rows (id, n_shingles, component_id, n_links), one per document; n_links on request.
 
     Words are runs without white space, A-Z lower-cased. Two documents are linked when the
     Jaccard index of their sets of n-word shingles is at least ``percent``/100; component_id is
-    the smallest id that links reach. A document without words (null text too) is linked with
+    the smallest id that links reach, n_links the number of other rows linked with it. A document without words (null text too) is linked with
     nothing and is its own component. Repeated rows are linked with each other; an empty table
     gives an empty table; other columns are not read. Shingles and sets are told apart by 64-bit
     hashes.
@@ -538,7 +592,9 @@ def jaccard_components(
     filled = members.where("size > 0")
     # One row per set from here on, whatever a class holds. Written, so that a join with all
     # members is a plain one whose hot keys Spark can split.
-    filled.groupBy("key").agg(F.min("_id").alias("first")).write.parquet(f"{root}/classes")
+    filled.groupBy("key").agg(
+        F.min("_id").alias("first"), F.count("*").alias("held")
+    ).write.parquet(f"{root}/classes")
     classes = spark.read.parquet(f"{root}/classes")
     total = filled.agg(F.sum("size")).first()[0]
     sets = candidate_sets(source, classes, total, n, percent, root)
@@ -553,17 +609,28 @@ def jaccard_components(
         named = found.withColumnRenamed("node", "key").join(classes, "key")
         least = named.groupBy("component").agg(F.min("first").alias("least"))
         linked = named.join(least, "component").select("key", "least")
-        classes.join(linked, "key", "left").select(
-            "key", F.coalesce("least", "first").alias("component_id")
+        rows = classes.join(linked, "key", "left")
+        if count_links:
+            counted = link_counts(sets, named.select("component", "key", "held"), percent, root)
+            rows = rows.join(counted, "key", "left")
+        else:
+            rows = rows.withColumn("links", F.lit(None).cast("long"))
+        rows.select(
+            "key", F.coalesce("least", "first").alias("component_id"),
+            (F.col("held") - 1 + F.coalesce("links", F.lit(0))).alias("_links"),
         ).write.parquet(f"{root}/named")
         classes = spark.read.parquet(f"{root}/named")
     else:
-        classes = classes.withColumnRenamed("first", "component_id")
+        classes = classes.select(
+            "key", F.col("first").alias("component_id"), (F.col("held") - 1).alias("_links")
+        )
     placed = members.join(
         classes.withColumnRenamed("component_id", "_component"),
         (members["key"] == classes["key"]) & (members["size"] > 0), "left",
     )
-    return placed.select(
+    out = placed.select(
         F.col("_id").alias(id_column), F.col("size").alias("n_shingles"),
         F.coalesce("_component", "_id").alias("component_id"),
+        F.coalesce("_links", F.lit(0)).alias("n_links"),
     )
+    return out if count_links else out.drop("n_links")

@@ -177,6 +177,27 @@ def test_join_is_the_same_wherever_the_boundary_lies(spark, monkeypatch, boundar
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 3, 80)
 
 
+@pytest.mark.parametrize("n, percent, block, boundary", [(3, 80, 256, 0), (3, 80, 8, 12)])
+def test_links_are_counted(spark, monkeypatch, n, percent, block, boundary):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard, "choose_boundary", lambda *a: boundary)
+    texts = near_copies(4)
+    sets = []
+    for text in texts:
+        w = WORDS.findall((text or "").translate({k: k + 32 for k in range(65, 91)}))
+        sets.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    want = dict.fromkeys(range(len(texts)), 0)
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+            want[a] += 1
+            want[b] += 1
+    documents = frame(spark, texts)
+    rows = jaccard.jaccard_components(documents, n, percent).collect()
+    assert {r.doc_id: r.n_links for r in rows} == want
+    assert "n_links" not in jaccard.jaccard_components(documents.limit(0), n, percent, count_links=False).columns
+
+
 def test_subsets_are_those_that_links_need():
     for percent in (50, 80, 90, 100):
         for a, b in itertools.combinations_with_replacement(range(1, 30), 2):
