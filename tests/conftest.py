@@ -28,11 +28,3 @@ def spark():
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path / uuid.uuid4().hex)
-
-
-def table(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)
-
-
-def collected(frame):
-    return sorted(tuple(r) for r in frame.collect())

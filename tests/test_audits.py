@@ -5,7 +5,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
-from conftest import table
+from rows import table
 
 from pairmill.catalog.oracle import LINES as ORACLE_LINES
 from pairmill.catalog.oracle import ORACLE

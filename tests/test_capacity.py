@@ -1,5 +1,5 @@
 import pytest
-from conftest import table
+from rows import table
 
 from pairmill.operators import capacity
 

@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import collected, table
+from rows import collected, table
 from pyspark.sql import functions as F
 
 from pairmill.operators import curate

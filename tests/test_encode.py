@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import table
+from rows import table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

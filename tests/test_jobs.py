@@ -4,7 +4,7 @@ import sys
 
 import numpy as np
 import pytest
-from conftest import collected, table
+from rows import collected, table
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

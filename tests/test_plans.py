@@ -1,6 +1,6 @@
 """The physical plans the operators are meant to have."""
 
-from conftest import table
+from rows import table
 
 from pairmill.functions.events import classify_lines
 from pairmill.functions.tokens import CodepointTokenizer

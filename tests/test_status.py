@@ -4,7 +4,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
-from conftest import collected, table
+from rows import collected, table
 
 from pairmill.catalog.oracle import OBSERVATIONS, ORACLE
 from pairmill.operators import status

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from conftest import table
+from rows import table
 from pyspark.sql import functions as F
 
 from pairmill.functions import text as T

@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import collected, table
+from rows import collected, table
 
 from pairmill.operators import training
 
