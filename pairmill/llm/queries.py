@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.llm.chat import format_conversations, format_digest, text_parts
+from pairmill.llm.divergence import source_divergence
 from pairmill.llm.jaccard import jaccard_components
 from pairmill.llm.language_model import language_model_scores
 from pairmill.llm.packing import best_fit_packing
@@ -174,3 +175,50 @@ def op9_benchmark_templates(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = r"""
+WITH texts AS (
+    SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        row_number() OVER () AS doc FROM documents),
+found AS (
+    SELECT doc, lang, source, unnest(list_transform(
+        regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term
+    FROM texts),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term
+    HAVING count(DISTINCT doc) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term)
+    GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN counts USING (lang, source)
+    LEFT JOIN langs USING (lang) GROUP BY lang, source),
+shares AS (
+    SELECT lang, source, term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + g.v)::HUGEINT AS p
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v)::HUGEINT AS q
+    FROM kept k JOIN langs l USING (lang)),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q
+    FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER)
+        AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
