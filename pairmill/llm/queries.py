@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from pairmill.llm.chat import format_conversations, format_digest, text_parts
 from pairmill.llm.divergence import source_divergence
+from pairmill.llm.hard_negatives import hard_negatives
 from pairmill.llm.jaccard import jaccard_components
 from pairmill.llm.language_model import language_model_scores
+from pairmill.llm.near_vectors import near_vectors
 from pairmill.llm.packing import best_fit_packing
 from pairmill.llm.quality import quality_scores
 from pairmill.llm.repetition import repetition_quality
@@ -177,6 +179,62 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@query
+def op11_near_vectors(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_near_vectors"] = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS u,
+        list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)),
+            'bool_and')
+        AND list_aggregate(list_transform(embedding, lambda x: x <> 0), 'bool_or') AS good
+    FROM embeddings),
+links AS (
+    SELECT a.r AS x, b.r AS y FROM rows a JOIN rows b ON a.r <> b.r AND a.good AND b.good
+    WHERE list_cosine_similarity(a.u, b.u) >= CAST(0.95 AS DOUBLE)),
+reached AS (
+    SELECT r, r AS k FROM rows UNION SELECT reached.r, y FROM reached JOIN links ON k = x),
+least AS (
+    SELECT reached.r, min(vec_id) AS component_id FROM reached JOIN rows ON k = rows.r
+    GROUP BY reached.r),
+counted AS (SELECT x AS r, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM rows JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS u
+    FROM embeddings
+    WHERE label IS NOT NULL AND list_aggregate(
+        list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.u, b.u) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+        AS INTEGER) AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 @query
 def op13_source_divergence(spark, sf_dir):
     return source_divergence(table(spark, sf_dir, "documents"))
