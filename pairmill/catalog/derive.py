@@ -45,6 +45,14 @@ def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gappy_pairs(spark, sf_dir).withColumn("repeat", F.explode(F.expr("sequence(0, 2)")))
 
 
+def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pairs of language and text, each three times."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("lang").alias("instruction"), F.col("text").alias("response"), "source",
+        F.explode(F.expr("sequence(0, 2)")).alias("repeat"),
+    )
+
+
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generations as good as the reference answer, but missing or blank in places."""
     return gappy_pairs(spark, sf_dir).select(
@@ -126,6 +134,16 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event lines, some requests of which pause for ten minutes before their fourth line."""
+    number = F.substring_index("request_id", ":", 1).cast("bigint")
+    late = (number % 5 == 0) & (F.col("seq") > 2)
+    return stream_lines(spark, sf_dir).withColumn(
+        "arrived_at",
+        F.when(late, F.col("arrived_at") + F.expr("INTERVAL 10 MINUTES")).otherwise(F.col("arrived_at")),
+    )
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job states polled over time: a user's events, read as states of one job."""
     kind = F.col("event_type")

@@ -225,6 +225,25 @@ accounted AS (
   SELECT *, CASE WHEN pool > 0 THEN pool / per_token ELSE CAST(0 AS DOUBLE) END AS budget
   FROM pools)"""
 
+
+
+def quantiles(by: str) -> str:
+    """The exact quantiles of the lengths, each as the largest length of its bucket."""
+    return f"""
+ordered AS (
+  SELECT {by}, length(text) AS n, row_number() OVER (PARTITION BY {by} ORDER BY length(text)) AS k,
+         count(*) OVER (PARTITION BY {by}) AS total
+  FROM documents),
+exact AS (
+  SELECT {by}, percent, n, greatest(length(bin(n)) - 7, 0) AS s
+  FROM ordered, (VALUES (50), (90), (99)) AS asked(percent)
+  WHERE k = (total * percent + 99) // 100),
+quantiles AS (
+  SELECT {by}, CAST(percent AS INTEGER) AS percent,
+         CAST((((n >> s) + 1) << s) - 1 AS BIGINT) AS length
+  FROM exact)"""
+
+
 ORACLE = {
     "sft_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
     "sft_pairs_with_gaps": """
@@ -262,6 +281,28 @@ FROM (SELECT *, sha256(lang || chr(0) || text) AS content_hash,
              count(*) OVER (PARTITION BY sha256(lang || chr(0) || text)) AS copies
       FROM documents)
 WHERE n = 1""",
+    "exact_dedup_late": """
+SELECT doc_id, lang AS instruction, text AS response, source, CAST(0 AS INTEGER) AS repeat,
+       content_hash, 3 * copies AS copies
+FROM (SELECT *, sha256(lang || chr(0) || text) AS content_hash,
+             row_number() OVER (PARTITION BY sha256(lang || chr(0) || text) ORDER BY doc_id) AS n,
+             count(*) OVER (PARTITION BY sha256(lang || chr(0) || text)) AS copies
+      FROM documents)
+WHERE n = 1""",
+    "split_fingerprints": f"""WITH {split()},
+sides AS (
+  SELECT 'deduped' AS side, content_hash AS h FROM deduped
+  UNION ALL SELECT 'train', content_hash FROM train
+  UNION ALL SELECT 'eval', content_hash FROM eval)
+SELECT side, count(*) AS rows,
+       CAST(sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) % 1000000000000000003 AS BIGINT)
+         AS sum_one,
+       CAST(sum(CAST('0x' || substr(h, 17, 15) AS BIGINT)) % 999999999999999989 AS BIGINT)
+         AS sum_two
+FROM sides GROUP BY side""",
+    "version_check": f"""WITH {encoded(256, PREPARED)}
+SELECT 'eval' AS side, count(*) AS rows, count(*) AS rows_found, true AS intact FROM eval
+UNION ALL SELECT 'kept', count(*), count(*), true FROM kept""",
     "holdout_keys": f"WITH {split()} SELECT content_hash FROM eval",
     "holdout_eval": f"WITH {split()} SELECT * FROM eval",
     "holdout_train": f"WITH {split()} SELECT * FROM train",
@@ -314,6 +355,13 @@ present AS (
 checked AS (
   SELECT response FROM present ORDER BY sha256(i || chr(0) || r || chr(0) || r) LIMIT 50)
 {acceptance(0.2, rows='checked')}""",
+    "acceptance_sample_by_turn": f"""WITH {GAPPY},
+present AS (
+  SELECT turn, response, '=' || instruction AS i, coalesce('=' || response, '') AS r FROM gappy),
+checked AS (
+  SELECT turn, response FROM present QUALIFY row_number() OVER (
+    PARTITION BY turn ORDER BY sha256(i || chr(0) || r || chr(0) || r)) <= 20)
+{acceptance(0.2, 'turn', 'checked')}""",
     "context_budget": f"""
 SELECT source, count(*) AS requests, max(length({PREFIX} || text || {SUFFIX}) + 256) AS longest,
        count(*) FILTER (WHERE length({PREFIX} || text || {SUFFIX}) + 256 > 2048) AS over_budget
@@ -376,6 +424,12 @@ SELECT conv_id, turn, 'm-' || (conv_id % 5) = 'm-3' OR 'm-' || turn = 'm-3' AS l
 FROM conversations""",
     "stream_audit": STREAM_AUDIT,
     "live_stream_report": STREAM_AUDIT,
+    "live_report_table": STREAM_AUDIT.replace(
+        "SELECT request_id, seq, us, transfer_rc,",
+        """SELECT request_id, seq, transfer_rc,
+         us + CASE WHEN CAST(split_part(request_id, ':', 1) AS BIGINT) % 5 = 0 AND seq > 2
+                   THEN 600000000 ELSE 0 END AS us,""",
+    ).replace("AS preview\n", "AS preview, true AS final\n"),
     "status_changes": f"""WITH {OBSERVATIONS},
 states AS (
   SELECT *, coalesce(nullif(deploy_status, ''), '?') || '/' || coalesce(nullif(job_status, ''), '?')
@@ -414,6 +468,11 @@ FROM accounted""",
 SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb, CAST(n AS INTEGER) AS length,
        CAST(floor(budget / n) AS BIGINT) AS sequences
 FROM accounted, (VALUES (512), (1024), (2048), (4096)) AS lengths(n)""",
+    "capacity_at_quantiles": f"""WITH {ACCOUNTED}, {quantiles('source')}
+SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb, percent, length,
+       CAST(floor(budget / greatest(length, 1)) AS BIGINT) AS sequences
+FROM accounted JOIN quantiles USING (source)""",
+    "length_quantiles": f"WITH {quantiles('lang')} SELECT * FROM quantiles",
     "capacity_at_observed_length": f"""WITH {ACCOUNTED}
 SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb,
        CAST(floor(budget / average_length) AS BIGINT) AS sequences

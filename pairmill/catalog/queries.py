@@ -10,15 +10,19 @@ from pairmill.catalog import derive
 from pairmill.config import GenConfig, PrepConfig, TrainConfig
 from pairmill.functions import text
 from pairmill.functions.tokens import CodepointTokenizer
-from pairmill.operators import audits, capacity, curate, encode, gate, generate, status, training
+from pairmill.operators import (
+    audits, capacity, curate, encode, fingerprint, gate, generate, lengths, status, training,
+)
+from pairmill.operators.late_dedup import late_dedup
 from pairmill.plans import handoff, inference
 from pairmill.plans.handoff import write_batches
-from pairmill.plans.prepare import prepare, read_manifest
+from pairmill.plans.prepare import check_version, prepare, read_manifest
 from pairmill.session import scratch_path
 from pairmill.sinks import publish
 from pairmill.sinks.publish import write_eval
-from pairmill.sources import raw, versions
+from pairmill.sources import files, raw, versions
 from pairmill.streaming.live_audit import live_stream_audit
+from pairmill.streaming.report_table import ReportTable
 
 TOKENIZER = CodepointTokenizer()
 MAX_LEN = 256
@@ -144,6 +148,15 @@ def exact_dedup(spark, sf_dir):
     )
 
 
+@query
+def exact_dedup_late(spark, sf_dir):
+    """Each document three times, and the survivors fetched by their places."""
+    documents = derive.repeated_documents(spark, sf_dir)
+    return late_dedup(
+        curate.with_content_hash(documents), tie_break=["doc_id", "repeat"], copies="copies"
+    )
+
+
 @query
 def holdout_keys(spark, sf_dir):
     return curate.holdout_keys(deduped(spark, sf_dir))
@@ -165,6 +178,20 @@ def split_invariants(spark, sf_dir):
     return curate.split_invariants(rows, *curate.split_holdout(rows))
 
 
+@query
+def split_fingerprints(spark, sf_dir):
+    rows = deduped(spark, sf_dir)
+    train, held_out = curate.split_holdout(rows)
+    return fingerprint.side_fingerprints({"deduped": rows, "train": train, "eval": held_out})
+
+
+@query
+def version_check(spark, sf_dir):
+    """A published version against the fingerprints in its manifest."""
+    version = versions.resolve_data(spark, _published(spark, sf_dir))
+    return check_version(spark, version)
+
+
 # Encoding.
 
 
@@ -248,6 +275,11 @@ def acceptance_sample(spark, sf_dir):
     return gate.acceptance_report(derive.generated(spark, sf_dir), 50, 0.2)
 
 
+@query
+def acceptance_sample_by_turn(spark, sf_dir):
+    return gate.acceptance_report(derive.generated(spark, sf_dir), 20, 0.2, by=("turn",))
+
+
 @query
 def gate_roundtrip(spark, sf_dir):
     """Generated rows written as a version and judged as read back, with the report on file."""
@@ -385,6 +417,34 @@ def live_stream_report(spark, sf_dir):
     return audits.with_previews(reports, log)
 
 
+@query
+def live_report_table(spark, sf_dir):
+    """Requests that pause for ten minutes, spread over batches, one of which runs three times.
+
+    The first time it ends before it is in the log, as after a lost driver.
+    """
+    root = scratch_path(spark, "reports")
+    lines = derive.paused_lines(spark, sf_dir)
+    lines.repartition(4).write.parquet(f"{root}/lines")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1)
+    reports = ReportTable(spark, f"{root}/table")
+
+    def broken(batch, batch_id):
+        reports.apply(batch, batch_id)
+        if batch_id == 1:
+            files.remove(spark, f"{reports.root}/log/{batch_id}")
+            reports.apply(batch, batch_id)
+            reports.apply(batch, batch_id)
+            reports.compact()
+
+    run = (
+        stream.parquet(f"{root}/lines").writeStream.foreachBatch(broken)
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return reports.reports()
+
+
 @query
 def status_changes(spark, sf_dir):
     return status.status_changes(derive.observations(spark, sf_dir))
@@ -429,6 +489,30 @@ def capacity_at_observed_length(spark, sf_dir):
     )
 
 
+@query
+def capacity_at_quantiles(spark, sf_dir):
+    tokens = derive.table(spark, sf_dir, "documents").select(
+        "source", F.length("text").alias("tokens")
+    )
+    return lengths.capacity_at_quantiles(accounted(spark, sf_dir), tokens, ("source",)).select(
+        "source", "model", "card_gb", "percent", "length", "sequences"
+    )
+
+
+@query
+def length_quantiles(spark, sf_dir):
+    """Read off the sketch of two halves of the documents, by language."""
+    documents = derive.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.length("text").alias("tokens")
+    )
+    halves = [
+        lengths.length_sketch(documents.where(F.col("doc_id") % 2 == half), ("lang",))
+        for half in (0, 1)
+    ]
+    whole = lengths.merged_sketches(halves[0].unionByName(halves[1]), ("lang",))
+    return lengths.sketch_quantiles(whole, ("lang",))
+
+
 @query
 def capacity_findings(spark, sf_dir):
     return capacity.capacity_findings(accounted(spark, sf_dir)).select(

@@ -40,23 +40,27 @@ def exact_dedup(
     return kept.select(*columns, *([copies] if copies else []))
 
 
-def collapse_pairs(raw: DataFrame) -> DataFrame:
-    """Deduplicated pairs plus one row with a null key that counts the blank ones.
-
-    ``copies`` then adds up to the number of raw rows, so the manifest needs no second pass over
-    the raw data.
-    """
+def keyed_pairs(raw: DataFrame) -> DataFrame:
+    """(content_hash, instruction, response), all null where a pair is blank."""
     texts = raw.select(*[F.col(c).cast("string").alias(c) for c in ("instruction", "response")])
     usable = nonblank(F.col("instruction")) & nonblank(F.col("response"))
     pairs = texts.withColumn("_usable", usable)
-    keyed = pairs.select(
+    return pairs.select(
         F.when(F.col("_usable"), content_hash(F.col("instruction"), F.col("response"))).alias(
             "content_hash"
         ),
         F.when(F.col("_usable"), F.col("instruction")).alias("instruction"),
         F.when(F.col("_usable"), F.col("response")).alias("response"),
     )
-    return exact_dedup(keyed, copies="copies")
+
+
+def collapse_pairs(raw: DataFrame) -> DataFrame:
+    """Deduplicated pairs plus one row with a null key that counts the blank ones.
+
+    ``copies`` then adds up to the number of raw rows, so the manifest needs no second pass over
+    the raw data.
+    """
+    return exact_dedup(keyed_pairs(raw), copies="copies")
 
 
 def holdout_size(total: int, eval_rows: int = 32, max_fraction: float = 0.25) -> int:

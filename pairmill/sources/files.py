@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -40,6 +41,25 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         stream.close()
 
 
+def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file if there is none; says whether it did."""
+    try:
+        write_text(spark, path, text)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, in order; none where there is no such folder."""
+    fs, target = _open(spark, folder)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
 def replace(spark: SparkSession, staged: str, target: str) -> None:
     """Renames ``staged`` over ``target`` in one step."""
     jvm = spark._jvm
