@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ from pairmill.session import scratch_path
 
 SCALE = 1_000_000_000
 # Entries that a task holds before it sends them; a text is cut at separators into such pieces.
-MOST_ENTRIES = 200_000
+MOST_ENTRIES = 400_000
 PIECE_BYTES = 1 << 20
+# An entry counts documents above this bit and occurrences below it.
+DOCUMENT = 1 << 44
 
 # What a byte of a term becomes: letters of either case and all bytes beyond ASCII stay.
 TERM_BYTES = bytes(
@@ -68,15 +71,17 @@ def term_counts(text: bytes) -> Counter:
     return counts
 
 
-def _sent(totals: dict, documents: dict) -> pa.RecordBatch:
-    keys = [(group, term) for group, counts in totals.items() for term in counts]
+def _sent(totals: dict) -> pa.RecordBatch:
+    sizes = [len(counts) for counts in totals.values()]
+    terms = [term for counts in totals.values() for term in counts]
+    both = np.fromiter((n for c in totals.values() for n in c.values()), np.int64, len(terms))
+    groups = pa.array(np.repeat(np.arange(len(sizes)), sizes))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([group[0] for group, _ in keys], pa.string()),
-            pa.array([group[1] for group, _ in keys], pa.string()),
-            pa.array([term for _, term in keys], pa.binary()).cast(pa.string()),
-            pa.array([totals[group][term] for group, term in keys], pa.int64()),
-            pa.array([documents[group][term] for group, term in keys], pa.int64()),
+            pa.array([lang for lang, _ in totals], pa.string()).take(groups),
+            pa.array([source for _, source in totals], pa.string()).take(groups),
+            pa.array(terms, pa.binary()).cast(pa.string()),
+            pa.array(both & (DOCUMENT - 1)), pa.array(both >> 44),
         ],
         ["lang", "source", "term", "n", "docs"],
     )
@@ -84,27 +89,23 @@ def _sent(totals: dict, documents: dict) -> pa.RecordBatch:
 
 def count_terms(batches: Iterator[pa.RecordBatch], most: int = MOST_ENTRIES) -> Iterator[pa.RecordBatch]:
     """(lang, source, text) to occurrences of each term and documents that have it."""
-    totals: dict = defaultdict(Counter)
-    documents: dict = defaultdict(Counter)
+    totals: dict = defaultdict(dict)
     held = 0
     for batch in batches:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        texts = batch.column(2)
-        for lang, source, text in zip(langs, sources, texts):
-            counts = term_counts(text.as_buffer().to_pybytes())
-            total, document = totals[lang, source], documents[lang, source]
+        for lang, source, text in zip(langs, sources, batch.column(2)):
+            total = totals[lang, source]
             held -= len(total)
-            for term, n in counts.items():
-                total[term] += n
-            document.update(counts.keys())
+            known = total.get
+            for term, n in term_counts(text.as_buffer().to_pybytes()).items():
+                total[term] = known(term, 0) + n + DOCUMENT
             held += len(total)
             if held > most:
-                yield _sent(totals, documents)
+                yield _sent(totals)
                 totals.clear()
-                documents.clear()
                 held = 0
     if held:
-        yield _sent(totals, documents)
+        yield _sent(totals)
 
 
 def share(count: Column, total: Column, kept: Column, scale: int = SCALE) -> Column:
