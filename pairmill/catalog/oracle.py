@@ -455,6 +455,25 @@ SELECT job, coalesce(arg_min(verdict, (observed_at, seq)) FILTER (WHERE verdict
        CASE WHEN outcome NOT IN ('timeout', 'running') THEN
          arg_min(message, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) END AS message
 FROM judged GROUP BY job""",
+    "live_job_watch": f"""WITH {OBSERVATIONS},
+judged AS (
+  SELECT *, CASE WHEN job_status = 'SUCCEEDED' THEN 'success'
+                 WHEN job_status IN ('FAILED', 'STOPPED') THEN 'failed'
+                 WHEN deploy_status = 'Failed' THEN 'deploy_failed'
+                 WHEN observed_at > min(observed_at) OVER (PARTITION BY job)
+                                    + INTERVAL 43200 SECOND THEN 'timeout' END AS verdict
+  FROM observations),
+ended AS (
+  SELECT job, min(observed_at) AS first_at,
+         arg_min(verdict, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) AS seen,
+         arg_min(reason, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) AS reason,
+         arg_min(message, (observed_at, seq)) FILTER (WHERE verdict IS NOT NULL) AS message
+  FROM judged GROUP BY job)
+SELECT CAST(job AS VARCHAR) AS job, coalesce(seen, 'timeout') AS outcome, first_at,
+       seen IS NULL AS silent,
+       CASE WHEN seen <> 'timeout' THEN reason END AS reason,
+       CASE WHEN seen <> 'timeout' THEN message END AS message
+FROM ended""",
     "capacity_accounting": f"""WITH {ACCOUNTED}
 SELECT source, model, CAST(card_gb AS INTEGER) AS card_gb, CAST(max_model_len AS INTEGER)
          AS max_model_len, per_token AS kv_bytes_per_token,

@@ -21,6 +21,7 @@ from pairmill.session import scratch_path
 from pairmill.sinks import publish
 from pairmill.sinks.publish import write_eval
 from pairmill.sources import files, raw, versions
+from pairmill.streaming.job_watch import latest_verdicts, watch_jobs
 from pairmill.streaming.live_audit import live_stream_audit
 from pairmill.streaming.report_table import ReportTable
 
@@ -455,6 +456,41 @@ def job_outcome(spark, sf_dir):
     return status.job_outcome(derive.observations(spark, sf_dir), 43_200)
 
 
+@query
+def live_job_watch(spark, sf_dir):
+    """The same polls as a stream, a third of the time at once, judged as they come.
+
+    A poll of another job long after lets the clock pass all deadlines.
+    """
+    root = scratch_path(spark, "watch")
+    polls = derive.observations(spark, sf_dir).withColumn("job", F.col("job").cast("string"))
+    ends = polls.agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last")).first()
+    third = (ends["last"] - ends["first"]) / 3
+    parts = [
+        polls.where(
+            (F.col("observed_at") >= ends["first"] + k * third)
+            & ((F.col("observed_at") < ends["first"] + (k + 1) * third) | F.lit(k == 2))
+        )
+        for k in range(3)
+    ]
+    later = F.expr("observed_at + INTERVAL 60 DAYS")
+    parts.append(
+        polls.orderBy(F.desc("observed_at")).limit(1)
+        .withColumns({"job": F.lit(""), "observed_at": later})
+    )
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{root}/polls")
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1)
+    run = (
+        watch_jobs(stream.parquet(f"{root}/polls"), 43_200, "1 hour").writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/verdicts")
+        .trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    last = latest_verdicts(spark.read.parquet(f"{root}/verdicts")).where("job <> ''")
+    return last.drop("decided_at").withColumn("first_at", F.col("first_at").cast("timestamp_ntz"))
+
+
 # Capacity.
 
 

@@ -46,6 +46,16 @@ def status_changes(observations: DataFrame, chunk_seconds: int = CHUNK_SECONDS)
     return changed.select("job", "observed_at", "seq", "previous", "state")
 
 
+def terminal_code() -> Column:
+    """How an observation ends its job, null while it runs; the job's own state is looked at first."""
+    job, deploy = F.col("job_status"), F.col("deploy_status")
+    return (
+        F.when(job == "SUCCEEDED", SUCCEEDED)
+        .when(job.isin("FAILED", "STOPPED"), FAILED)
+        .when(deploy == "Failed", DEPLOY_FAILED)
+    )
+
+
 def job_outcome(
     observations: DataFrame, timeout_seconds: int, chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
@@ -57,14 +67,8 @@ def job_outcome(
     observation are returned if the log has them.
     """
     told = [c for c in ("reason", "message") if c in observations.columns]
-    job, deploy = F.col("job_status"), F.col("deploy_status")
-    code = (
-        F.when(job == "SUCCEEDED", SUCCEEDED)
-        .when(job.isin("FAILED", "STOPPED"), FAILED)
-        .when(deploy == "Failed", DEPLOY_FAILED)
-    )
     rows = observations.select(
-        "job", "observed_at", "seq", code.alias("code"), *told,
+        "job", "observed_at", "seq", terminal_code().alias("code"), *told,
         _chunk(observations, chunk_seconds).alias("_chunk"),
     )
     inside = Window.partitionBy("job", "_chunk").orderBy("observed_at", "seq")
