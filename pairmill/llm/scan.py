@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 # Bytes of text that one numpy pass works on; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 19
@@ -27,9 +28,31 @@ except OSError:
     _LIBC = None
 
 
+# What a worker keeps from task to task of one stage: (stage, value) by name.
+_kept: dict = {}
+
+
+def _stage() -> int:
+    context = TaskContext.get()
+    return -1 if context is None else context.stageId()
+
+
+def kept(name: str, make: Callable, fits: Callable = lambda value: True):
+    """A large object that the tasks of a stage share in one worker; made anew if it does not fit."""
+    stage, value = _kept.get(name, (None, None))
+    if value is None or not fits(value):
+        _kept.pop(name, None)
+        value = make()
+    _kept[name] = (_stage(), value)
+    return value
+
+
 def release() -> None:
-    """Gives freed memory back to the system. Workers outlive their tasks, and the memory that one
-    operator leaves to the allocator would be missing to the next."""
+    """Gives freed memory back to the system, with what earlier stages kept. Workers outlive their
+    tasks, and the memory that one operator leaves behind would be missing to the next."""
+    stage = _stage()
+    for name in [n for n, (of, _) in _kept.items() if of != stage]:
+        del _kept[name]
     pa.default_memory_pool().release_unused()
     if _LIBC is not None:
         _LIBC.malloc_trim(0)

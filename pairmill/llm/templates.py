@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairmill.llm.scan import (
     BYTE_POWERS, BYTE_VALUE, LOWER, WORD_POWERS, Slice, slices, span_hashes, window_hashes,
 )
-from pairmill.session import ship_package
+from pairmill.session import scratch_path, ship_package
 
 LITERAL, NUMBER, NAME, UNIT = range(4)
 # Benchmark windows up to this number are sent to all tasks (8 bytes each) and only hits go on;
@@ -282,7 +282,10 @@ def contaminated(
     items = items.select(
         F.col("_id").alias("item"), F.col("at").alias("item_at"), "length", "hash",
         F.col("dense").alias("item_dense"), F.col("slots").alias("item_slots"),
-    ).dropDuplicates(["item", "item_at", "length", "hash"]).persist()
+    ).dropDuplicates(["item", "item_at", "length", "hash"])
+    path = scratch_path(spark, "items")
+    items.write.parquet(path)
+    items = spark.read.schema(items.schema).parquet(path)
     totals = items.groupBy("item").agg(
         F.countDistinct("item_at").alias("all"),
         F.countDistinct(F.when(F.col("item_dense"), F.col("item_at"))).alias("dense"),

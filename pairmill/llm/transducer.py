@@ -28,7 +28,7 @@ from array import array
 
 import numpy as np
 
-from pairmill.llm.scan import Slice
+from pairmill.llm.scan import Slice, kept
 
 LAST_PLAIN = 0x24F
 CHUNK = 256
@@ -168,6 +168,7 @@ class Transducer:
     """The compiled machine; grows with the words it meets."""
 
     def __init__(self, vocabulary: bytes | str):
+        self.made_from = hash(vocabulary)
         self.vocabulary = vocabulary if isinstance(vocabulary, str) else vocabulary.decode()
         spec = json.loads(self.vocabulary)
         model = spec["model"]
@@ -456,16 +457,12 @@ def _utf8_length(text: str) -> int:
     return len(text) if text.isascii() else len(text.lower().encode())
 
 
-_compiled: dict[int, Transducer] = {}
-
-
 def transducer(vocabulary: bytes) -> Transducer:
-    """One machine per worker process and vocabulary; later tasks find it already grown."""
-    key = hash(vocabulary)
-    if key not in _compiled or len(_compiled[key].growth) > MOST_STATES:
-        _compiled.clear()
-        _compiled[key] = Transducer(vocabulary)
-    return _compiled[key]
+    """One machine per worker process; later tasks of the stage find it already grown."""
+    return kept(
+        "transducer", lambda: Transducer(vocabulary),
+        lambda machine: machine.made_from == hash(vocabulary) and len(machine.growth) <= MOST_STATES,
+    )
 
 
 def texts_of(part: Slice) -> list[str]:
