@@ -375,6 +375,13 @@ SELECT epoch, CAST(shard AS INTEGER) AS shard, batch, count(*) AS rows,
        min(n_supervised) AS min_supervised, max(n_supervised) AS max_supervised,
        count(*) FILTER (WHERE n_supervised = 0) AS unsupervised_rows
 FROM plan JOIN encoded USING (content_hash) GROUP BY epoch, shard, batch""",
+    "batch_resume": f"""WITH {encoded(256, PREPARED)}, {batches(2, 4, 'encoded')}
+SELECT epoch, CAST(shard AS INTEGER) AS shard, batch, pos, content_hash
+FROM (SELECT *, max(batch) OVER (PARTITION BY epoch, shard) + 1 AS steps FROM plan)
+WHERE batch >= steps // 2""",
+    "batch_index": f"""WITH {encoded(256, PREPARED)}, {batches(2, 4, 'encoded')}
+SELECT epoch, CAST(shard AS INTEGER) AS shard, batch, count(*) AS rows, CAST(0 AS BIGINT) AS first_pos
+FROM plan GROUP BY epoch, shard, batch""",
     "epoch_loss": f"WITH {LOSSES} SELECT * FROM epochs",
     "checkpoint_topk": f"""WITH {LOSSES}
 SELECT run_id, epoch, checkpoint, CAST(place AS INTEGER) AS place

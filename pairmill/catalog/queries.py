@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -20,7 +22,7 @@ from pairmill.plans.prepare import check_version, prepare, read_manifest
 from pairmill.session import scratch_path
 from pairmill.sinks import publish
 from pairmill.sinks.publish import write_eval
-from pairmill.sources import files, raw, versions
+from pairmill.sources import batches, files, raw, versions
 from pairmill.streaming.job_watch import latest_verdicts, watch_jobs
 from pairmill.streaming.live_audit import live_stream_audit
 from pairmill.streaming.report_table import ReportTable
@@ -325,6 +327,36 @@ def batch_layout(spark, sf_dir):
     return training.supervision_audit(spark.read.parquet(output), by=("epoch", "shard", "batch"))
 
 
+@query
+def batch_resume(spark, sf_dir):
+    """What each worker has still to read when it goes on in the middle of each epoch."""
+    root = _published(spark, sf_dir)
+    output = scratch_path(spark, "batches")
+    config = TrainConfig(root, run_id="first")
+    write_batches(spark, config, output)
+    steps = batches.read_index(spark, output).groupBy("epoch", "shard").agg(
+        (F.max("batch") + 1).alias("steps")
+    )
+    # One row per epoch and worker.
+    parts = [
+        batches.resume(spark, output, r["epoch"], r["shard"], r["steps"] // 2)
+        .select("epoch", "shard", "batch", "pos", "content_hash")
+        for r in steps.collect()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def batch_index(spark, sf_dir):
+    """Rows and files of each batch as the index has them."""
+    root = _published(spark, sf_dir)
+    output = scratch_path(spark, "batches")
+    write_batches(spark, TrainConfig(root, run_id="first"), output)
+    return batches.read_index(spark, output).groupBy("epoch", "shard", "batch").agg(
+        F.sum("rows").alias("rows"), F.min("first_pos").alias("first_pos")
+    )
+
+
 @query
 def epoch_loss(spark, sf_dir):
     losses = training.epoch_loss(derive.step_losses(spark, sf_dir))

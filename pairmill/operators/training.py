@@ -8,9 +8,44 @@ from pyspark.sql.window import Window
 
 from pairmill.config import IGNORED_LABEL
 
-# Leading digest digits of a bucket: 4,096 buckets and as many offsets per epoch, however many
-# rows there are. A task sorts a bucket with spilling.
-BUCKET_DIGITS = 3
+# Rows of a bucket, which one task sorts, and the most digest digits that make buckets.
+BUCKET_ROWS = 100_000
+MOST_DIGITS = 8
+# Offsets up to so many are broadcast; more are joined where the rows lie after their one shuffle.
+BROADCAST_OFFSETS = 1_000_000
+
+
+def bucket_digits_for(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Leading hex digits of a digest that leave about ``bucket_rows`` rows or fewer in a bucket."""
+    digits = 1
+    while digits < MOST_DIGITS and rows > bucket_rows * 16**digits:
+        digits += 1
+    return digits
+
+
+def bucket_offsets(counts: DataFrame, digits: int) -> DataFrame:
+    """(epoch, _bucket, _offset, _total) from the rows per bucket: a prefix sum in two levels.
+
+    Buckets are added up by the first half of their digits; sums run over those, and inside each of them
+    over the second half. So no task orders more than the square root of all offsets of an epoch.
+    """
+    head = F.substring("_bucket", 1, max(1, digits // 2)).alias("_head")
+    leaves = counts.select("*", head)
+    heads = leaves.groupBy("epoch", "_head").agg(F.sum("_n").alias("_n"))
+    before = Window.orderBy("_head").partitionBy("epoch").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    heads = heads.select(
+        "epoch", "_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"),
+        F.sum("_n").over(Window.partitionBy("epoch")).alias("_total"),
+    )
+    inside = Window.partitionBy("epoch", "_head").orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    within = leaves.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return within.join(heads, ["epoch", "_head"]).select(
+        "epoch", "_bucket", (F.col("_above") + F.col("_within")).alias("_offset"), "_total"
+    )
 
 
 def cut_padding(rows: DataFrame) -> DataFrame:
@@ -49,7 +84,7 @@ def batch_plan(
     num_workers: int = 2,
     batch_size: int = 4,
     seed: int = 42,
-    bucket_digits: int = BUCKET_DIGITS,
+    bucket_digits: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Adds (epoch, shard, batch, pos): a full shuffle per epoch, dealt out to the workers.
@@ -57,35 +92,35 @@ def batch_plan(
     The order of an epoch is that of ``md5(key:seed + epoch)``; it differs between epochs and is
     the same on every run. Positions come in two phases instead of one global sort: rows are
     numbered inside buckets, the leading digits of the digest, and shifted by the number of rows
-    in the buckets before. Digests are uniform, so no bucket is hot whatever the data. With
-    ``partitions`` the rows are shuffled once into that many ranges of (epoch, bucket), which is
-    also what numbering needs; a shard is a contiguous range of positions, so a task holds few
-    shards and a shard gets few files. Shard sizes differ by at most one. The last batch of a
-    shard may be short.
+    in the buckets before. Digests are uniform, so no bucket is hot whatever the data. How many digits
+    is chosen from the number of rows, counted here unless ``bucket_digits`` is given; the order does
+    not depend on it. With ``partitions`` the rows are shuffled once into that many ranges of
+    (epoch, bucket), which is also what numbering needs; a shard is a contiguous range of
+    positions, so a task holds few shards and a shard gets few files. Shard sizes differ by at
+    most one. The last batch of a shard may be short.
     """
+    if bucket_digits is None:
+        bucket_digits = bucket_digits_for(rows.select(key).count())
     digest = F.md5(F.concat(F.col(key), F.lit(":"), (F.col("epoch") + seed).cast("string")))
     ordered = (
         rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_digest", digest)
         .withColumn("_bucket", F.substring("_digest", 1, bucket_digits))
     )
-    before = Window.partitionBy("epoch").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        ordered.groupBy("epoch", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "epoch", "_bucket",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy("epoch")).alias("_total"),
-        )
-    )
+    counts = ordered.groupBy("epoch", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = bucket_offsets(counts, bucket_digits)
+    few = epochs * 16**bucket_digits <= BROADCAST_OFFSETS
+    if few:
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy("epoch", "_bucket").orderBy("_digest", key)
-    if partitions:
+    if partitions and few:
         ordered = ordered.repartitionByRange(partitions, "epoch", "_bucket")
+    elif partitions:
+        # The numbering and the join with the offsets both need the rows as this leaves them.
+        ordered = ordered.repartition(partitions, "epoch", "_bucket")
     placed = (
         ordered.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), ["epoch", "_bucket"])
+        .join(offsets, ["epoch", "_bucket"])
         .withColumn("_index", F.col("_offset") + F.col("_rank"))
         .withColumn("shard", F.expr(f"(_index * {num_workers}) div _total"))
         .withColumn(

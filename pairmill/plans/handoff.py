@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pairmill.config import TrainConfig
 from pairmill.errors import JobFailed
 from pairmill.operators.training import (
+    BUCKET_ROWS,
     batch_plan,
+    bucket_digits_for,
     checkpoint_select,
     cut_padding,
     epoch_loss,
@@ -18,6 +20,7 @@ from pairmill.operators.training import (
 from pairmill.session import SHUFFLE_BYTES
 from pairmill.sinks import publish as sink
 from pairmill.sources import versions
+from pairmill.sources.batches import index_batches
 
 PROVENANCE = (
     "run_id string, base_model string, data_version string, data_rows bigint, "
@@ -30,8 +33,8 @@ def write_batches(spark: SparkSession, config: TrainConfig, output: str) -> str:
     """Lays out the shuffled batches of every epoch and shard; returns the data version read.
 
     Files are partitioned by epoch and shard, in batch order, so a worker reads only its own.
-    Rows travel once, without their padding, into ranges of the shuffled order sized by the
-    tokens in them.
+    Rows travel once, without their padding, into ranges of the shuffled order; ranges and the buckets
+    they consist of are sized by the tokens in them. An index of the batches lies beside the files.
     """
     version = versions.resolve_data(spark, config.tokenized_dir)
     rows = versions.read_train(spark, version)
@@ -40,15 +43,20 @@ def write_batches(spark: SparkSession, config: TrainConfig, output: str) -> str:
         raise JobFailed(f"{version} holds rows without a supervised token")
     attended = rows.agg(F.sum(F.size(F.filter("attention_mask", lambda m: m == 1)))).first()[0]
     # Two arrays of eight-byte numbers travel.
-    partitions = 1 + 16 * (attended or 0) * config.epochs // SHUFFLE_BYTES
+    travelling = 16 * (attended or 0)
+    partitions = 1 + travelling * config.epochs // SHUFFLE_BYTES
+    # Enough buckets that ranges come out even: a range has some eight of them.
+    buckets = max(audit["rows"] // BUCKET_ROWS, 8 * travelling // SHUFFLE_BYTES)
     plan = batch_plan(
         cut_padding(rows), epochs=config.epochs, num_workers=config.num_workers,
         batch_size=config.batch_size, seed=config.seed, partitions=partitions,
+        bucket_digits=bucket_digits_for(buckets, 1),
     )
     laid_out = restore_padding(plan.sortWithinPartitions("epoch", "shard", "batch", "pos"))
     laid_out.select(
         "epoch", "shard", "batch", "pos", *rows.columns
     ).write.mode("errorifexists").partitionBy("epoch", "shard").parquet(output)
+    index_batches(spark, output)
     return version
 
 
