@@ -13,6 +13,11 @@ STREAM_EPOCH_US = 1_704_067_200_000_000
 PIECE_CHARS = 40
 
 
+def vocabulary_file() -> str:
+    """A byte-level vocabulary of the box."""
+    return "/opt/tokenizers/byte_bpe_50k.json"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pairmill.catalog.byte_pair_sql import BYTE_PAIRS
+
 # What Python's strip() leaves nothing of.
 BLANK = r"NOT regexp_matches({0}, '[^\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}\v]')"
 PREFIX = "'<|im_start|>user' || chr(10)"
@@ -318,6 +320,7 @@ SELECT (SELECT count(*) FROM deduped) AS deduped_rows, (SELECT count(*) FROM tra
 SELECT conv_id, turn, {PREFIX} || instruction || {SUFFIX} AS prompt FROM pairs""",
     "tokenize_codepoints": f"""
 SELECT conv_id, turn, array_to_string({codepoints('text')}, ',') AS ids FROM conversations""",
+    "tokenize_byte_pairs": BYTE_PAIRS,
     "overlength_split": f"""WITH {PAIRS},
 sizes AS (
   SELECT conv_id, turn, length({PREFIX} || instruction || {SUFFIX}) AS prompt_tokens,

@@ -15,6 +15,7 @@ from pairmill.functions.tokens import CodepointTokenizer
 from pairmill.operators import (
     audits, capacity, curate, encode, fingerprint, gate, generate, lengths, status, training,
 )
+from pairmill.operators.byte_pairs import BytePairs, token_ids
 from pairmill.operators.late_dedup import late_dedup
 from pairmill.plans import handoff, inference
 from pairmill.plans.handoff import write_batches
@@ -212,6 +213,15 @@ def tokenize_codepoints(spark, sf_dir):
     )
 
 
+@query
+def tokenize_byte_pairs(spark, sf_dir):
+    """Ids of a published byte-level vocabulary, by joins."""
+    turns = derive.table(spark, sf_dir, "conversations")
+    vocabulary = BytePairs.read(spark, derive.vocabulary_file())
+    found = token_ids(turns, "text", ["conv_id", "turn"], vocabulary)
+    return found.select("conv_id", "turn", F.array_join("ids", ",").alias("ids"))
+
+
 @query
 def overlength_split(spark, sf_dir):
     tokens = encode.tokenize_pairs(
