@@ -54,7 +54,7 @@ class IndexSettings:
 
     codewords: int = 16
     sample_bytes: int = 16 << 20
-    shard_rows: int = 50_000
+    shard_rows: int = 20_000
     block_anchors: int = 10_000
 
 
@@ -364,7 +364,10 @@ def _wave(index: DataFrame, anchors: DataFrame, shared, seeker, first: bool, blo
                 seeker.search(shard, anchor, values[k], (s1[k], s2[k]), out)
         return seeker.table(out)
 
-    return dealt.groupBy("shard", "block").cogroup(rows.groupBy("shard", "block")).applyInArrow(
+    # A search costs far more than its bytes tell, so small partitions are not put together.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = [side.repartition(tasks, "shard", "block") for side in (dealt, rows)]
+    return sides[0].groupBy("shard", "block").cogroup(sides[1].groupBy("shard", "block")).applyInArrow(
         search, seeker.schema
     )
 
