@@ -168,10 +168,14 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return content[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Cuts a batch into slices of about ``most`` bytes between texts, never inside one."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES, tidy: bool = True) -> Iterator[Slice]:
+    """Cuts a batch into slices of about ``most`` bytes between texts, never inside one.
+
+    Unless ``tidy`` is false, memory is given back after the batch; else the caller does so.
+    """
     yield from _cut(*text_buffers(texts), most)
-    release()
+    if tidy:
+        release()
 
 
 def _cut(data: np.ndarray, bounds: np.ndarray, most: int) -> Iterator[Slice]:

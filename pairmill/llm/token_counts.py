@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.scan import slices
-from pairmill.llm.transducer import texts_of, transducer
+from pairmill.llm.scan import release, slices
+from pairmill.llm.transducer import TEXT_BYTES, texts_of, transducer
 from pairmill.llm.vocabulary import broadcast_vocabulary
 from pairmill.session import ship_package
 
@@ -35,7 +35,7 @@ def token_counts(
     def run(batches):
         machine = transducer(shared.value)
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), TEXT_BYTES, tidy=False):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, part.size),
@@ -44,6 +44,7 @@ def token_counts(
                     ],
                     names=["_id", "n_bytes", "n_tokens"],
                 )
+        release()
 
     counted = source.mapInArrow(run, f"_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit).withColumnRenamed(

@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.llm.scan import mix, slices
-from pairmill.llm.transducer import texts_of, transducer
+from pairmill.llm.scan import mix, release, slices
+from pairmill.llm.transducer import TEXT_BYTES, texts_of, transducer
 from pairmill.llm.vocabulary import broadcast_vocabulary
 from pairmill.session import scratch_path, ship_package
 
@@ -109,8 +109,9 @@ def write_training_order(
     def count(batches):
         machine, total = transducer(shared.value), 0
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), TEXT_BYTES, tidy=False):
                 total += int((-(-(machine.count(texts_of(part)) + 1) // size)).sum())
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())],
             names=["part", "n"],
@@ -131,7 +132,7 @@ def write_training_order(
         end = np.array([layout.end_id], dtype=np.int32)
         number, last = begins.value[TaskContext.get().partitionId() :][:2]
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), TEXT_BYTES, tidy=False):
                 rows, pieces, contents = [], [], []
                 for row, ids in enumerate(machine.encode(texts_of(part)), part.first):
                     ids = np.concatenate([ids, end])
@@ -154,6 +155,7 @@ def write_training_order(
                     ],
                     names=["shard", "slot", "id", "piece", "tokens"],
                 )
+        release()
         if number != last:
             raise RuntimeError("the input changed between two passes")
 
@@ -248,7 +250,9 @@ def read_sequences(
                         )
 
     wanted = manifest.where(F.col("first_slot") + F.col("records") > from_slot)
-    return wanted.repartition("shard").mapInArrow(
+    # A row of the list stands for a whole shard, so its few bytes are not put into one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartition(tasks, "shard").mapInArrow(
         run,
         "slot long, id long, piece int, length long, shard long, offset long, tokens binary",
     )

@@ -457,6 +457,11 @@ def _utf8_length(text: str) -> int:
     return len(text) if text.isascii() else len(text.lower().encode())
 
 
+# Bytes of text that a task of token counts or ids works on at once: its arrays take some hundred times
+# as much, and smaller slices take longer.
+TEXT_BYTES = 1 << 20
+
+
 def transducer(vocabulary: bytes) -> Transducer:
     """One machine per worker process; later tasks of the stage find it already grown."""
     return kept(
