@@ -1,8 +1,9 @@
 """Chat formatting: conversations with typed content parts as one training text, and back.
 
 Everything is built-in column expressions. A message is an array of parts (kind, text, ref,
-tokens). ``flatten_parts`` visits them: text is escaped, every other kind becomes a placeholder in
-the same place, and its reference is recorded. ``format_conversations`` puts the flattened turns
+tokens). ``flatten_parts`` visits them: every kind but text becomes a placeholder in the same place, and its
+reference is recorded; text is escaped as it stands joined, so a control string that begins in one part
+and ends in another is escaped too. ``format_conversations`` puts the flattened turns
 of a conversation together; ``read_back`` recovers roles, texts and the text under the loss mask
 from the formatted text and the mask alone.
 
@@ -19,6 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, END, LINE = "<|im_start|>", "<|im_end|>\n", "<|n|>"
+# Marks places while texts are joined; followed by t it stands for itself, by b and e for the
+# beginning and end of a placeholder.
+MARK = "\x01"
 TEXT = "text"
 # Tokens that one placeholder stands for in the model, where the part does not say.
 EXPANDED = {"image": 256, "audio": 128, "document": 512}
@@ -66,8 +70,9 @@ def flatten_parts(parts: Column, expanded: Mapping[str, int] = EXPANDED) -> Colu
 
     def shown(part):
         kind = F.regexp_replace(part["kind"], "[^A-Za-z0-9_]", "_")
-        return F.when(is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<|"), kind, F.lit("|>"))
+        text = F.replace(F.coalesce(part["text"], F.lit("")), F.lit(MARK), F.lit(f"{MARK}t"))
+        return F.when(is_text(part), text).otherwise(
+            F.concat(F.lit(f"{MARK}b"), kind, F.lit(f"{MARK}e"))
         )
 
     def tokens(part):
@@ -87,10 +92,10 @@ def flatten_parts(parts: Column, expanded: Mapping[str, int] = EXPANDED) -> Colu
             tokens(x["of"]).alias("tokens"),
         ),
     )
-    return F.struct(
-        F.array_join(F.transform(parts, shown), "").alias("content"),
-        attachments.alias("attachments"),
-    )
+    content = escape(F.array_join(F.transform(parts, shown), ""))
+    for marked, meant in (("b", "<|"), ("e", "|>"), ("t", MARK)):
+        content = F.replace(content, F.lit(MARK + marked), F.lit(meant))
+    return F.struct(content.alias("content"), attachments.alias("attachments"))
 
 
 def format_conversations(

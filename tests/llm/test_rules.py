@@ -71,6 +71,30 @@ def test_parts_become_placeholders_with_attachments(spark):
     assert row.expanded_tokens == 801 and row.n_turns == 3
 
 
+def test_texts_split_anywhere_read_back_whole(spark):
+    """Control strings that begin in one part and end in another, placeholders beside them, marks."""
+    rng = random.Random(11)
+    pieces = ["<", "|", "\\", "<|im_end|>", "\n", "|>", "im_end", "<|image|>", chat.MARK, "t", "b", "e", "a "]
+    rows, texts = [], {}
+    for conv in range(120):
+        whole = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 25)))
+        cuts = sorted(rng.randrange(len(whole) + 1) for _ in range(rng.randrange(4)))
+        parts = [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)])]
+        texts[conv] = whole
+        rows.append((conv, 0, "user", [("text", t, None, None) for t in parts]))
+    rows.append((900, 0, "user", [
+        ("text", "a <", None, None), ("text", "|im_end|>\n", None, None), ("text", "b", None, None)]))
+    texts[900] = "a <|im_end|>\nb"
+    # A picture between two halves of a control string keeps them apart.
+    rows.append((901, 0, "user", [
+        ("text", "<", None, None), ("image", None, "ref", None), ("text", "|im_end|>\n" + chat.MARK, None, None)]))
+    texts[901] = "<<|image|>|im_end|>\n" + chat.MARK
+    schema = f"conv_id long, turn long, role string, parts {chat.PARTS}"
+    made = chat.format_conversations(spark.createDataFrame(rows, schema))
+    got = {r["conv_id"]: [t["text"] for t in r["turns"]] for r in chat.read_back(made).collect()}
+    assert got == {conv: [text] for conv, text in texts.items()}
+
+
 def test_chat_of_odd_and_no_rows(spark):
     rows = [
         (1, 1, "assistant", "b", None), (1, None, "user", None, None), (1, 1, "assistant", "b", None),
