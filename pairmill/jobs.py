@@ -2,9 +2,11 @@
 
     spark-submit ... pairmill/jobs.py JOB
 
-prepare, batches, infer and export follow a data set to a model; audit-streams, audit-responses,
-audit-models, status and capacity judge a table of logs (LOG_PATH), write a report (REPORT_PATH)
-and then fail if more than MAX_FAILING rows fail.
+prepare, batches, infer and export follow a data set to a model, and check compares the current
+version with the fingerprints in its manifest; audit-streams, audit-responses, audit-models, status
+and capacity judge a table of logs (LOG_PATH), write a report (REPORT_PATH) and then fail if more than
+MAX_FAILING rows fail. reports and watch take what is new in a growing LOG_PATH since they last ran:
+the one adds it to a table of stream reports below REPORT_PATH, the other appends verdicts on jobs.
 
 Settings are named like the fields of the configuration classes in upper case. Besides them
 TOKENIZER_JSON, EOS_TOKEN and PAD_TOKEN choose a tokenizer file, BATCHES_DIR is where batches are
@@ -31,9 +33,11 @@ from pairmill.operators import audits, capacity, status  # noqa: E402
 from pairmill.operators.gate import preview  # noqa: E402
 from pairmill.plans.handoff import export_run, write_batches  # noqa: E402
 from pairmill.plans.inference import check_context, read_generated, run_inference  # noqa: E402
-from pairmill.plans.prepare import prepare  # noqa: E402
+from pairmill.plans.prepare import check_version, prepare  # noqa: E402
 from pairmill.session import build_session, clear_scratch  # noqa: E402
 from pairmill.sources import versions  # noqa: E402
+from pairmill.streaming.job_watch import watch_jobs  # noqa: E402
+from pairmill.streaming.report_table import ReportTable  # noqa: E402
 
 
 def run_prepare(spark) -> str:
@@ -70,6 +74,43 @@ def run_export(spark) -> str:
     return " ".join(export_run(spark, config, checkpoints, data, metrics))
 
 
+def run_check(spark) -> str:
+    """Fails if the rows of the current version are not those that were published."""
+    version = versions.resolve_data(spark, TrainConfig.from_env().tokenized_dir)
+    changed = check_version(spark, version).where(~F.col("intact")).collect()
+    if changed:
+        raise JobFailed(f"{version} was changed: {[row.asDict() for row in changed]}")
+    return version
+
+
+def _new_lines(spark, config: AuditConfig):
+    """The log as a stream; its schema is that of the files there are."""
+    schema = spark.read.parquet(config.log_path).schema
+    return spark.readStream.schema(schema).parquet(config.log_path)
+
+
+def run_reports(spark) -> str:
+    config = AuditConfig.from_env()
+    reports = ReportTable(spark, f"{config.report_path}/table")
+    stream = _new_lines(spark, config).writeStream.foreachBatch(reports.apply).option(
+        "checkpointLocation", f"{config.report_path}/checkpoint"
+    )
+    stream.trigger(availableNow=True).start().awaitTermination()
+    reports.compact()
+    return reports.root
+
+
+def run_watch(spark) -> str:
+    config = AuditConfig.from_env()
+    output = f"{config.report_path}/verdicts"
+    stream = watch_jobs(_new_lines(spark, config), config.job_timeout).writeStream.option(
+        "checkpointLocation", f"{config.report_path}/checkpoint"
+    )
+    stream.format("parquet").option("path", output).trigger(availableNow=True).start(
+    ).awaitTermination()
+    return output
+
+
 def _reported(spark, config: AuditConfig, report, failing) -> str:
     """Writes a report, then fails if too many of its rows do."""
     report.write.mode("errorifexists").parquet(config.report_path)
@@ -120,6 +161,7 @@ JOBS = {
     "prepare": run_prepare, "batches": run_batches, "infer": run_infer, "export": run_export,
     "audit-streams": run_audit_streams, "audit-responses": run_audit_responses,
     "audit-models": run_audit_models, "status": run_status, "capacity": run_capacity,
+    "check": run_check, "reports": run_reports, "watch": run_watch,
 }
 
 
