@@ -23,12 +23,14 @@ HEADLINES = {
     "prep_manifest": "conversations",
     "encode_sft": "conversations",
     "exact_dedup": "documents",
+    "exact_dedup_late": "documents",
     "stream_audit": "conversations",
     "batch_plan": "conversations",
     "tokenize_codepoints": "conversations",
     "acceptance_report": "conversations",
     "response_audit": "conversations",
     "live_stream_report": "conversations",
+    "live_report_table": "conversations",
     "status_changes": "events",
     "job_outcome": "events",
     "epoch_loss": "events",
