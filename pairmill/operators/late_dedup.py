@@ -14,10 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.session import SHUFFLE_BYTES, UNKNOWN_PARTITIONS, input_bytes, scratch_path
+from pairmill.session import SHUFFLE_BYTES, input_bytes, scratch_path
 
 # Rows that share one word of bits, and the bits of a row's number within its task.
 WORD_ROWS = 32
+MOST_BUCKETS = 20_000
 ROW_BITS = 33
 PART, ROW = "_part", "_row"
 # The bit of a row in its word, and the word among those of its task.
@@ -46,14 +47,15 @@ def place_rows(rows: DataFrame, purpose: str = "placed") -> Placed:
     """Writes the rows, each task into one file, without a shuffle."""
     spark = rows.sparkSession
     size = input_bytes(rows)
-    tasks = UNKNOWN_PARTITIONS if size is None else size // SHUFFLE_BYTES
+    # A bucket is streamed through, so for an input of unknown size their number is not critical.
+    tasks = 4 * spark.sparkContext.defaultParallelism if size is None else size // SHUFFLE_BYTES
     buckets = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     numbered = rows.withColumn("_place", F.monotonically_increasing_id()).select(
         *rows.columns, *place_columns(F.col("_place"))
     )
     path = scratch_path(spark, purpose)
     name = f"pairmill_{uuid.uuid4().hex}"
-    buckets = min(buckets, UNKNOWN_PARTITIONS)
+    buckets = min(buckets, MOST_BUCKETS)
     numbered.write.bucketBy(buckets, PART).option("path", path).saveAsTable(name)
     written = spark.table(name)
     # What was read keeps its buckets; only the name goes, the files stay.

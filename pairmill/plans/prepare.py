@@ -50,13 +50,14 @@ def prepare(
         pairs = raw.read_pairs(spark, config.raw_dir, config.raw_format)
 
     staged = scratch_path(spark, f"prepare-{config.run_id}")
-    with sized_shuffles(pairs):
-        placed = place_rows(keyed_pairs(pairs), f"raw-{config.run_id}")
-        try:
+    placed = place_rows(keyed_pairs(pairs), f"raw-{config.run_id}")
+    try:
+        # Sized by the written table, whose size is known whatever the input was.
+        with sized_shuffles(placed.rows):
             fetch(placed, first_places(placed, "content_hash")).write.parquet(staged)
-            raw_rows = placed.rows.count()
-        finally:
-            files.remove(spark, placed.path)
+        raw_rows = placed.rows.count()
+    finally:
+        files.remove(spark, placed.path)
     try:
         return _publish(
             spark, config, staged, raw_rows, tokenizer or CodepointTokenizer(), template, lineage
