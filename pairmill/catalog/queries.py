@@ -20,11 +20,11 @@ from pairmill.operators.late_dedup import late_dedup
 from pairmill.plans import handoff, inference
 from pairmill.plans.handoff import write_batches
 from pairmill.plans.prepare import check_version, prepare, read_manifest
-from pairmill.session import scratch_path
+from pairmill.session import scratch_path, stream_parts, stream_settings
 from pairmill.sinks import publish
 from pairmill.sinks.publish import write_eval
 from pairmill.sources import batches, files, raw, versions
-from pairmill.streaming.job_watch import latest_verdicts, watch_jobs
+from pairmill.streaming.job_watch import FORGET_SECONDS, latest_verdicts, watch_jobs
 from pairmill.streaming.live_audit import live_stream_audit
 from pairmill.streaming.report_table import ReportTable
 
@@ -506,30 +506,32 @@ def live_job_watch(spark, sf_dir):
     """
     root = scratch_path(spark, "watch")
     polls = derive.observations(spark, sf_dir).withColumn("job", F.col("job").cast("string"))
-    ends = polls.agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last")).first()
-    third = (ends["last"] - ends["first"]) / 3
-    parts = [
-        polls.where(
-            (F.col("observed_at") >= ends["first"] + k * third)
-            & ((F.col("observed_at") < ends["first"] + (k + 1) * third) | F.lit(k == 2))
-        )
-        for k in range(3)
-    ]
+    micros = F.unix_micros(F.col("observed_at").cast("timestamp"))
+    log = polls.agg(
+        F.min(micros).alias("first"), F.max(micros).alias("last"), F.count("*").alias("rows")
+    ).first()
+    first, span = log["first"] or 0, (log["last"] or 0) - (log["first"] or 0) + 1
+    third = F.expr(f"int((unix_micros(cast(observed_at AS timestamp)) - {first}) * 3 div {span})")
+    parts = [polls.where(third == k) for k in range(3)]
     later = F.expr("observed_at + INTERVAL 60 DAYS")
     parts.append(
         polls.orderBy(F.desc("observed_at")).limit(1)
         .withColumns({"job": F.lit(""), "observed_at": later})
     )
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{root}/polls")
-    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1)
-    run = (
-        watch_jobs(stream.parquet(f"{root}/polls"), 43_200, "1 hour").writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/verdicts")
-        .trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    last = latest_verdicts(spark.read.parquet(f"{root}/verdicts")).where("job <> ''")
+    # Started once per part, so that a part is one batch however many files it takes.
+    for part, rows in zip(parts, [log["rows"] // 3] * 3 + [1]):
+        part.repartition(stream_parts(rows)).write.mode("append").parquet(f"{root}/polls")
+        stream = spark.readStream.schema(polls.schema).parquet(f"{root}/polls")
+        found = watch_jobs(stream, 43_200, "1 hour", max(FORGET_SECONDS, span // 1_000_000))
+        with stream_settings(spark, log["rows"]):
+            run = (
+                found.writeStream.format("parquet")
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .option("path", f"{root}/verdicts").trigger(availableNow=True).start()
+            )
+        run.awaitTermination()
+    verdicts = spark.read.schema(found.schema).parquet(f"{root}/verdicts")
+    last = latest_verdicts(verdicts).where(~F.col("job").eqNullSafe(""))
     return last.drop("decided_at").withColumn("first_at", F.col("first_at").cast("timestamp_ntz"))
 
 

@@ -12,6 +12,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What streams with state need; a stream keeps what its session had when it was started.
+STREAM_SETTINGS = {
+    # Open requests of a stream live on disk with their changes logged, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Lines of one request are combined on the map side before its session is shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,12 +29,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Texts can be long, so Arrow batches are kept short.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    # Open requests of a stream live on disk with their changes logged, not on the heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Lines of one request are combined on the map side before its session is shuffled.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    **STREAM_SETTINGS,
     # A JSON object naming a key twice is accepted and the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -86,6 +91,42 @@ UNKNOWN_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+@contextmanager
+def _with_conf(spark: SparkSession, settings: dict[str, str]):
+    """While open, the session has these settings."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+# Rows of a stream's log that one file, and one partition of its state, should get.
+STREAM_ROWS = 100_000
+
+
+def stream_parts(rows: int, least: int = 1) -> int:
+    """In how many files or partitions so many rows of a log go."""
+    return max(least, -(-rows // STREAM_ROWS))
+
+
+@contextmanager
+def stream_settings(spark: SparkSession, rows: int = 0):
+    """While open, streams start with what state needs, and with partitions for so many rows.
+
+    A session may come without them, and a stream cannot split or merge its partitions later.
+    """
+    parts = stream_parts(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with _with_conf(spark, {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(parts)}):
+        yield
+
+
 @contextmanager
 def sized_shuffles(rows: DataFrame, growth: float = 1.0):
     """While open, shuffles start with enough partitions for the input times ``growth``.
@@ -99,15 +140,8 @@ def sized_shuffles(rows: DataFrame, growth: float = 1.0):
     if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         yield
         return
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    spark.conf.set(INITIAL_PARTITIONS, wanted)
-    try:
+    with _with_conf(spark, {INITIAL_PARTITIONS: wanted}):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 _shipped: set[str] = set()

@@ -1,11 +1,15 @@
 import datetime as dt
 import random
+import subprocess
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from rows import collected, table
 
+from pairmill.catalog.queries import QUERIES
 from pairmill.operators.status import job_outcome
-from pairmill.streaming.job_watch import latest_verdicts, minutes, watch_jobs
+from pairmill.streaming.job_watch import JobWatch, latest_verdicts, minutes, watch_jobs
 
 POLLS = (
     "job string, observed_at timestamp, seq bigint, deploy_status string, job_status string, "
@@ -107,3 +111,37 @@ def test_an_ended_job_is_forgotten_after_a_while(spark, folder):
         [poll("a", 300_000, "FAILED")], [poll("clock", 400_000, "RUNNING")],
     ], forget_seconds=90_000)
     assert [(r[0], r[2]) for r in verdicts(found)] == [("a", "failed"), ("a", "success")]
+
+
+def test_the_processor_needs_no_package_where_it_is_opened():
+    load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).timeout_us)"
+    run = subprocess.run(
+        [sys.executable, "-I", "-c", load], input=cloudpickle.dumps(JobWatch(7)), cwd="/",
+        capture_output=True,
+    )
+    assert (run.stdout, run.returncode) == (b"7000000\n", 0), run.stderr
+
+
+def test_live_job_watch_in_a_session_without_its_settings(spark, folder):
+    def event(number, seconds, user, kind):
+        return (number, (START + dt.timedelta(seconds=seconds)).replace(tzinfo=None), user, kind, 1.0, f"p{number}")
+
+    table(spark, [
+        event(0, 0, 1, "signup"), event(1, 60, 1, "purchase"), event(2, 100, 2, "view"),
+        event(3, 44_000, 2, "view"), event(4, 200, 3, "click"), event(5, 86_400, 4, "error"),
+        event(6, 300, None, "view"), event(7, 400, None, "purchase"),
+    ], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ).write.parquet(f"{folder}/events.parquet")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(provider)
+    spark.conf.set(provider, own.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider"))
+    try:
+        found = QUERIES["live_job_watch"](spark, folder)
+        rows = {r["job"]: (r["outcome"], r["silent"], r["message"]) for r in found.collect()}
+        assert "HDFS" in spark.conf.get(provider)
+    finally:
+        spark.conf.set(provider, own)
+    assert rows == {
+        "1": ("success", False, "p1"), "2": ("timeout", False, None), "3": ("timeout", True, None),
+        "4": ("failed", False, "p5"), None: ("success", False, "p7"),
+    }
