@@ -428,33 +428,46 @@ def stream_audit(spark, sf_dir):
     return audits.stream_audit(derive.stream_lines(spark, sf_dir))
 
 
+def _spread(lines, path, rows, triggers, least=1):
+    """Writes a log in no order; returns how many of its files, of bounded size, make one trigger."""
+    each = stream_parts(rows // triggers, least)
+    lines.repartition(each * triggers).write.parquet(path)
+    return each
+
+
 @query
 def live_stream_report(spark, sf_dir):
     """The same lines as a file stream over several triggers, in no order.
 
-    A line two months later, of a request that stays open, lets the watermark pass all others.
-    Texts are looked up in the log afterwards.
+    So a line may come as late as the log is long. A line a month later than that, of a request that
+    stays open, lets the watermark pass all others. Texts are looked up in the log afterwards.
     """
     root = scratch_path(spark, "stream")
     lines = derive.stream_lines(spark, sf_dir)
-    lines.repartition(4).write.parquet(f"{root}/lines")
+    arrived = F.unix_micros("arrived_at")
+    seen = lines.agg(
+        F.count("*").alias("rows"), (F.max(arrived) - F.min(arrived)).alias("span")
+    ).first()
+    days = max(30, (seen["span"] or 0) // 86_400_000_000 + 1)
+    each = _spread(lines, f"{root}/lines", seen["rows"], triggers=2, least=2)
     log = spark.read.parquet(f"{root}/lines")
     latest = log.agg(F.max("arrived_at").alias("arrived_at"))
     late = latest.select(
         F.lit("").alias("request_id"), F.lit(0).cast("bigint").alias("seq"),
-        F.expr("arrived_at + INTERVAL 60 DAYS").alias("arrived_at"),
+        F.expr(f"arrived_at + INTERVAL {days + 30} DAYS").alias("arrived_at"),
         F.lit(None).cast("string").alias("line"), F.lit(None).cast("int").alias("transfer_rc"),
     )
     late.coalesce(1).write.mode("append").parquet(f"{root}/lines")
     stream = (
-        spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2)
+        spark.readStream.schema(log.schema).option("maxFilesPerTrigger", each)
         .parquet(f"{root}/lines")
     )
-    run = (
-        live_stream_audit(stream, lateness="30 days").writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/reports")
-        .trigger(availableNow=True).start()
-    )
+    with stream_settings(spark, seen["rows"]):
+        run = (
+            live_stream_audit(stream, lateness=f"{days} days").writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/reports")
+            .trigger(availableNow=True).start()
+        )
     run.awaitTermination()
     reports = spark.read.parquet(f"{root}/reports")
     return audits.with_previews(reports, log)
@@ -468,8 +481,8 @@ def live_report_table(spark, sf_dir):
     """
     root = scratch_path(spark, "reports")
     lines = derive.paused_lines(spark, sf_dir)
-    lines.repartition(4).write.parquet(f"{root}/lines")
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1)
+    each = _spread(lines, f"{root}/lines", lines.count(), triggers=4)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", each)
     reports = ReportTable(spark, f"{root}/table")
 
     def broken(batch, batch_id):

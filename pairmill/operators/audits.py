@@ -115,11 +115,21 @@ def stream_previews(events: DataFrame) -> DataFrame:
     return lines.groupBy("request_id").agg(preview_of(joined).alias("preview"))
 
 
+def staged_events(lines: DataFrame) -> DataFrame:
+    """Narrow events of a log, written once to the shared folder.
+
+    A condition on what a line was classified as would otherwise move below the classification and
+    parse every line several times.
+    """
+    staged = scratch_path(lines.sparkSession, "events")
+    narrow_events(E.classify_lines(lines)).write.parquet(staged)
+    return lines.sparkSession.read.parquet(staged)
+
+
 def with_previews(reports: DataFrame, lines: DataFrame) -> DataFrame:
     """Reports of requests with the beginnings of their texts, looked up in the log."""
     wanted = lines.join(reports.select("request_id"), "request_id", "left_semi")
-    previews = stream_previews(narrow_events(E.classify_lines(wanted)))
-    return reports.join(previews, "request_id", "left")
+    return reports.join(stream_previews(staged_events(wanted)), "request_id", "left")
 
 
 def verdict(min_span_us: int = MIN_STREAM_SPAN_US) -> Column:
@@ -153,11 +163,7 @@ def stream_audit(
     transfer counts as failed. With previews the classified lines are written once to the shared
     folder, so that the log is read and parsed once for both.
     """
-    events = narrow_events(E.classify_lines(lines))
-    if with_preview:
-        staged = scratch_path(lines.sparkSession, "events")
-        events.write.parquet(staged)
-        events = lines.sparkSession.read.parquet(staged)
+    events = staged_events(lines) if with_preview else narrow_events(E.classify_lines(lines))
     report = stream_totals(events).withColumn("verdict", verdict(min_span_us))
     report = report.select(*REPORT_COLUMNS)
     if not with_preview:

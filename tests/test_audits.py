@@ -5,10 +5,14 @@ import random
 import duckdb
 import pandas as pd
 import pytest
-from rows import table
+from rows import collected, table
 
+from pairmill import session
+from pairmill.catalog import queries
 from pairmill.catalog.oracle import LINES as ORACLE_LINES
 from pairmill.catalog.oracle import ORACLE
+from pairmill.catalog.queries import QUERIES
+from pairmill.functions import events as E
 from pairmill.operators import audits
 from pairmill.streaming.live_audit import live_stream_audit
 
@@ -267,3 +271,38 @@ def test_response_audit(spark):
 )
 def test_model_listed(spark, body, listed):
     assert audits.model_listed(table(spark, [(body,)], "body string"), "m").first()["listed"] is listed
+
+
+def test_previews_read_classified_lines(spark, folder):
+    """The condition on the kind of a line does not parse the log again."""
+    table(spark, [("a", 0, None, "data: [DONE]", None)], LINES).write.parquet(folder)
+    lines = spark.read.parquet(folder)
+    events = audits.narrow_events(E.classify_lines(lines))
+    found = audits.with_previews(lines.select("request_id").distinct(), lines)
+    plans = [str(f._jdf.queryExecution().optimizedPlan()).lower() for f in (events, found)]
+    assert ["parse_json" in plan or "parsejson" in plan for plan in plans] == [True, False]
+    assert found.collect() == [("a", None)]
+
+
+def conversations(spark, folder, numbers):
+    text = "some words of a text that is longer than one piece of a stream, " * 3
+    rows = [(n, turn, "assistant", text + str(n)) for n in numbers for turn in range(2)]
+    table(spark, rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(
+        f"{folder}/conversations.parquet")
+
+
+def test_live_report_of_a_log_longer_than_a_month(spark, folder):
+    conversations(spark, folder, [1, 7, 8, 70_000, 100_001])
+    live = QUERIES["live_stream_report"](spark, folder)
+    batch = QUERIES["stream_audit"](spark, folder)
+    assert collected(live.select(*batch.columns).fillna("")) == collected(batch.fillna(""))
+    assert live.count() == 10
+
+
+def test_logs_are_written_in_files_by_their_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "STREAM_ROWS", 10)
+    assert queries._spread(spark.range(200), f"{folder}/log", 200, triggers=2, least=2) == 10
+    assert len(spark.read.parquet(f"{folder}/log").inputFiles()) == 20
+    conversations(spark, folder, [1, 2, 7])
+    for name in ("live_stream_report", "live_report_table"):
+        assert QUERIES[name](spark, folder).count() == 6
