@@ -5,7 +5,8 @@ Exact, without a shuffle of all shingles by row and without pairs of copies:
 1. Documents with equal shingle sets form a class; from here on a class is one set.
 2. A set can only be linked if it shares the needed part of its shingles with other sets at all.
    Tasks send sorted hash arrays per bucket of the hash space, one entry per shingle and slice of
-   texts; few sets get past this.
+   texts, and only for each set's smallest shingles by hash, of which linked sets have a known
+   number in common; few sets get past this.
 3. Of those, small sets (up to a boundary) enumerate their subsets of the size that a link
    requires; sets meeting in a subset are linked for certain and are joined like a star.
    Larger sets scan inverted lists of their rarest shingles, as many as a partner cannot miss.
@@ -47,11 +48,30 @@ LARGEST_SMALL_SET = 40
 COLUMNS_AT_ONCE = 4096
 
 
+# Percent of a set's shingles that linked sets have in common among those that are sent.
+SENT_COMMON = 20
+
+
 def needed(size: int, percent: int) -> int:
     """Shingles that any partner of a set of this size has in common with it."""
     return -(-percent * size // 100)
 
 
+def sent_common(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles in common that are looked for among those sent, for sets that are linked.
+
+    The first k common shingles of two linked sets x and y, by hash, are among the first
+    |x| − |x∩y| + k of x and the first |y| − |x∩y| + k of y. Never falls with the size, so the smaller
+    set's number holds for both.
+    """
+    return np.maximum(1, sizes * min(SENT_COMMON, percent) // 100)
+
+
+def sent_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """How many of its smallest shingles a set sends."""
+    return np.minimum(sizes, sizes + percent * sizes // -100 + sent_common(sizes, percent))
+
+
 @cache
 def overlap(a: int, b: int, percent: int) -> int:
     """Common shingles that link sets of these sizes: 100·i ≥ percent·(a + b − i)."""
@@ -108,8 +128,8 @@ def from_planes(data: bytes) -> np.ndarray:
 SENT = "bucket int, single binary, place binary, many binary, keys binary, sizes binary, local binary"
 
 
-def _sent(part: Slice, n: int, buckets: int):
-    """One row per bucket: what a slice of texts tells about its shingles there."""
+def _sent(part: Slice, n: int, percent: int, buckets: int):
+    """One row per bucket: what a slice of texts tells about the smallest shingles of its sets."""
     # Hashing takes many times the bytes of a text, so it goes piece by piece.
     pairs = [(piece.first, *shingles(piece, n)) for piece in part.pieces()]
     found = np.concatenate([found for _, found, _ in pairs])
@@ -120,8 +140,10 @@ def _sent(part: Slice, n: int, buckets: int):
     wanted = np.zeros(part.size, dtype=bool)
     wanted[kept] = True
     wanted &= counts > 0
-    inside = wanted[owners]
-    found, owners = found[inside], owners[inside]
+    rank = np.arange(len(found)) - np.repeat(np.cumsum(counts) - counts, counts)
+    inside = wanted[owners] & (rank < sent_sizes(counts, percent)[owners])
+    # The smallest hashes fill few buckets.
+    found, owners = mix(found[inside]), owners[inside]
     low = found & np.uint64((1 << 48) - 1)
     bucket = ((found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort([low, bucket])
@@ -146,7 +168,7 @@ COUNTED = "range int, keys binary, sizes binary, shared binary"
 
 
 def _shared(table: pa.Table, ranges: int) -> pa.Table:
-    """How many shingles of a bucket each set shares with other sets, by range of set keys."""
+    """How many of its sent shingles in a bucket each set shares with other sets, by range of keys."""
     rows = table.select(["single", "place", "many", "keys", "sizes", "local"]).to_pylist()
     keys = [np.frombuffer(r["keys"], "<u8") for r in rows]
     single = np.concatenate([from_planes(r["single"]) for r in rows])
@@ -198,7 +220,8 @@ def _enough(table: pa.Table, percent: int) -> pa.Table:
     shared = np.concatenate([np.frombuffer(r["shared"], "<u4") for r in rows])
     found, first, place = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(place, shared)
-    kept = 100 * total >= percent * sizes[first].astype(np.int64)
+    # A partner may be as small as the shingles that it must have in common.
+    kept = total >= sent_common(-(-percent * sizes[first].astype(np.int64) // 100), percent)
     return pa.table([pa.array(found[kept].view(np.int64))], names=["key"])
 
 
@@ -223,7 +246,7 @@ def candidate_sets(
     spark = source.sparkSession
     if not total:
         return None
-    buckets = math.ceil(total / BUCKET_SHINGLES) + 1
+    buckets = math.ceil(total * min(100, 100 - percent + SENT_COMMON) / 100 / BUCKET_SHINGLES) + 1
 
     def send(part, ids):
         # Places are 16-bit numbers.
@@ -231,7 +254,7 @@ def candidate_sets(
             last = min(part.size, first + (1 << 16))
             bounds = part.bounds[first : last + 1]
             piece = Slice(first, part.data[bounds[0] : bounds[-1]], bounds - bounds[0])
-            rows = list(zip(*_sent(piece, n, buckets)))
+            rows = list(zip(*_sent(piece, n, percent, buckets)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])],

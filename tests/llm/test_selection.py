@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import ODD_TEXTS, empty, frame, odd, prose
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pairmill.llm import jaccard, pu
 from pairmill.llm.components import connected_components
 from pairmill.llm.quality import quality_scores
 from pairmill.llm.sampling import pu_sample
+from pairmill.llm.scan import slices
 from pairmill.llm.selection import without
 from pairmill.llm.templates import contaminated
 from pairmill.llm.toxicity import toxicity_scores
@@ -169,6 +171,35 @@ def test_join_equals_brute_force(spark, monkeypatch, n, percent, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, n, percent)
 
 
+@pytest.mark.parametrize("percent", [10, 50, 80, 90, 100])
+def test_linked_sets_share_what_is_looked_for_among_few_sent_shingles(percent):
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for _ in range(3000):
+        x = rng.choice(400, rng.integers(1, 200), replace=False)
+        spare = rng.integers(0, len(x) * (100 - percent) // 100 + 1)
+        y = np.union1d(x[: len(x) - spare], rng.choice(400, rng.integers(0, spare + 1), replace=False))
+        common = len(np.intersect1d(x, y))
+        if not common or 100 * common < percent * (len(x) + len(y) - common):
+            continue
+        linked += 1
+        few = [np.sort(s)[: jaccard.sent_sizes(np.array([len(s)]), percent)[0]] for s in (x, y)]
+        for s in (x, y):
+            least = np.array([jaccard.needed(len(s), percent)])
+            assert len(np.intersect1d(*few)) >= jaccard.sent_common(least, percent)[0]
+    assert linked > 300
+    assert jaccard.sent_sizes(np.array([1000]), 90)[0] == 300
+
+
+def test_a_slice_sends_only_the_smallest_shingles():
+    texts = [prose(40 + i, 1000) for i in range(5)]
+    (part,) = slices(pa.array(texts), 1 << 20)
+    _, owners = jaccard.shingles(part, 3)
+    rows = list(jaccard._sent(part, 3, 90, 4))
+    sent = sum(len(r[1]) + len(r[3]) for r in rows) // 6
+    assert len(rows) == 4 and 0.2 * len(owners) < sent < 0.31 * len(owners)
+
+
 @pytest.mark.parametrize("boundary", [0, 12, 40])
 def test_join_is_the_same_wherever_the_boundary_lies(spark, monkeypatch, boundary):
     monkeypatch.setattr(jaccard, "choose_boundary", lambda *a: boundary)
