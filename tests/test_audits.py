@@ -292,6 +292,7 @@ def conversations(spark, folder, numbers):
 
 
 def test_live_report_of_a_log_longer_than_a_month(spark, folder):
+    """Also right before the lateness followed the log: Spark drops by the watermark of the batch before."""
     conversations(spark, folder, [1, 7, 8, 70_000, 100_001])
     live = QUERIES["live_stream_report"](spark, folder)
     batch = QUERIES["stream_audit"](spark, folder)
