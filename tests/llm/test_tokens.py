@@ -69,6 +69,38 @@ def test_long_words_take_few_rounds(library, machine, monkeypatch):
         assert count == len(ids(library, word))
 
 
+def test_equal_words_are_run_once_per_slice(library, machine, monkeypatch):
+    texts = [prose(i, 300) for i in range(3)]
+    sizes = []
+    run = machine.run
+    monkeypatch.setattr(machine, "run", lambda codes, fresh: sizes.append(len(codes)) or run(codes, fresh))
+    want = [ids(library, text) for text in texts]
+    for times in (1, 40):
+        assert machine.count(texts * times).tolist() == [len(x) for x in want] * times
+        assert [x.tolist() for x in machine.encode(texts * times)] == want * times
+    # Nearly all words of the copies are known; the bytes run are those of few more.
+    assert max(sizes) < 1.2 * min(sizes) < sum(map(len, texts))
+
+
+def test_words_are_told_apart_by_all_their_bytes(library, machine):
+    """Words around the limits of the comparison that differ in their last bytes or length alone."""
+    words = [w * n + end for w in "a\x00" for n in (1, 7, 8, 9, 15, 16, 17) for end in ("", "\x00", "b", "é")]
+    texts = [" ".join(words * 3), *words, "\n".join(reversed(words))]
+    for text, got, count in zip(texts, machine.encode(texts), machine.count(texts)):
+        assert got.tolist() == ids(library, text) and count == len(got), repr(text)
+
+
+def test_transitions_are_built_many_at_a_time(monkeypatch):
+    with open(VOCABULARY, "rb") as file:
+        machine = Transducer(file.read())
+    built = []
+    build = machine._build
+    monkeypatch.setattr(machine, "_build", lambda keys: built.append(np.size(keys)) or build(keys))
+    rng = random.Random(4)
+    machine.count([" ".join("".join(rng.choices("etaoinsh", k=9)) for _ in range(20_000))])
+    assert sum(built) > 50_000 and len(built) < 200
+
+
 def test_tokens_stay_beside_each_other_as_when_encoded(machine):
     rng, merges = random.Random(5), machine.merges
     tokens = list(merges.token_of.values())
